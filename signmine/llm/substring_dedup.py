@@ -17,9 +17,11 @@ from signmine.llm.common import components, cut
 SHINGLE, SIMILARITY = 5, 0.8
 #: Shorter paragraphs are left to line dedup.
 LEAST_WORDS = 31
+#: Words of a cut, as below.
+CUT_WORDS = 21
 #: Passages inside longer paragraphs: cut out from each word that a hash of its shingle chooses in some window of ANCHOR_WINDOW places.
-#: A run of LEAST_WORDS + ANCHOR_WINDOW - 1 = 50 words that two documents share has such a cut in common, wherever it stands.
-ANCHOR_WINDOW = 20
+#: A run of CUT_WORDS + ANCHOR_WINDOW - 1 = 50 words that two documents share has such a cut in common, wherever it stands.
+ANCHOR_WINDOW = 30
 #: Recall at SIMILARITY that the bands must reach, and hashes they may take.
 RECALL, MOST_HASHES = 0.995, 48
 #: A bucket's paragraphs are compared in blocks of so many.
@@ -92,15 +94,15 @@ def word_hashes(text: str) -> np.ndarray:
 
 
 def passages(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, first signature, second signature) of the LEAST_WORDS words from each anchor on."""
-    starts = anchors(_shingles(words)) if len(words) >= LEAST_WORDS + ANCHOR_WINDOW - 1 else np.zeros(0, np.int64)
-    starts = starts[starts + LEAST_WORDS <= len(words)]
+    """(starts, first signature, second signature) of the CUT_WORDS words from each anchor on."""
+    starts = anchors(_shingles(words)) if len(words) >= CUT_WORDS + ANCHOR_WINDOW - 1 else np.zeros(0, np.int64)
+    starts = starts[starts + CUT_WORDS <= len(words)]
     up, down = _powers(len(words) + 1)
     signatures = []
     for body in (words, _mixed(words + np.uint64(1))):
         total = np.concatenate([np.zeros(1, np.uint64), (body * up[: len(words)]).cumsum(dtype=np.uint64)])
-        signatures.append(_mixed((total[starts + LEAST_WORDS] - total[starts]) * down[starts]).view(np.int64))
-    return starts, *signatures
+        signatures.append(_mixed((total[starts + CUT_WORDS] - total[starts]) * down[starts]).view(np.int64))
+    return starts, signatures[0], (signatures[1] >> 32).astype(np.int32)
 
 
 def _paragraphs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,7 +121,7 @@ def _paragraphs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 parts.append(hashes)
             starts, one, two = passages(np.concatenate(parts))
             if len(starts):
-                cuts = np.empty(len(starts), [("at", "<i4"), ("one", "<i8"), ("two", "<i8")])
+                cuts = np.empty(len(starts), [("at", "<i4"), ("one", "<i8"), ("two", "<i4")])
                 cuts["at"], cuts["one"], cuts["two"] = starts, one, two
                 rows.append((doc_id, 0, 0, 0, 0, None, None, cuts.tobytes()))
             if len(rows) > 5000:
@@ -132,7 +134,7 @@ _COLUMNS = ["doc_id", "at", "n_words", "h1", "h2", "bands", "shingles", "cuts"]
 
 
 def _cuts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    kind = np.dtype([("at", "<i4"), ("one", "<i8"), ("two", "<i8")])
+    kind = np.dtype([("at", "<i4"), ("one", "<i8"), ("two", "<i4")])
     for batch in batches:
         found = [np.frombuffer(x, kind) for x in batch["cuts"]]
         if found:
@@ -191,12 +193,19 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def near_paragraphs(paragraphs: DataFrame) -> DataFrame:
-    """Links (a, b) between different paragraphs (node, bands, shingles; node stands once) of SIMILARITY or more, as many as join their components."""
+def near_paragraphs(paragraphs: DataFrame, lines: DataFrame) -> DataFrame:
+    """Links (a, b) between different paragraphs of SIMILARITY or more, as many as join their components.
+
+    paragraphs has (node, doc_id, at, bands), a node once with one place where it stands; lines has (h1, doc_id, at, shingles).
+    Only paragraphs that share a bucket with another get their shingles and are compared.
+    """
     keys = paragraphs.select("node", "bands").mapInPandas(_explode_bands, "node long, band int, key int")
-    shared = keys.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
-    keys = keys.join(shared, ["band", "key"], "left_semi")
-    rows = keys.join(paragraphs.select("node", "shingles"), "node").select("band", "key", "node", "shingles")
+    bucket = Window.partitionBy("band", "key")
+    shared = cut(keys.withColumns({"least": F.min("node").over(bucket), "most": F.max("node").over(bucket)}).where("least < most").select("band", "key", "node"))
+    places = paragraphs.join(shared.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("__doc"), F.col("at").alias("__at"))
+    held = lines.join(places, (F.col("h1") == F.col("node")) & (F.col("doc_id") == F.col("__doc")) & (F.col("at") == F.col("__at"))).select("node", "shingles")
+    # Several rows of one doc_id may hold a place each, with the same shingles: links of a node to itself do no harm.
+    rows = shared.join(held, "node").select("band", "key", "node", "shingles")
     rows = rows.repartition("band", "key").sortWithinPartitions("band", "key", "node")
     return rows.mapInPandas(_verify, "a long, b long")
 
@@ -206,33 +215,36 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
     kind "paragraph": a line of LEAST_WORDS words or more. Lines of the same words are one class; lines whose sets of five-word shingles have a Jaccard
     similarity of 0.8 or more are linked (MinHash bands tuned for a recall of 0.995 at 0.8, then exact similarity), and components of links are classes.
-    kind "passage": a run of LEAST_WORDS words or more that another document has word for word, wherever it stands, line ends included: overlapping cuts of LEAST_WORDS words, of
+    kind "passage": a run of CUT_WORDS words or more that another document has word for word, wherever it stands, line ends included: overlapping cuts of CUT_WORDS words, of
     which one at least lies in every run of 50 words that two documents share. Words are parted by white space and lower-cased.
     class_id is the least doc_id of the class, start_word the place of the passage's first word in its document. keep is true for the class's documents of that
     id alone: what the others repeat can be removed. Rows of one doc_id are one document; classes that one document has to itself are left out.
+    Texts and shingles are compared by hashes of 128 and 32 bits, a paragraph is named by 64 bits, and a cut by 96.
     Null and empty texts and null doc_ids take no part. An empty table gives no rows; other columns play no part.
     """
     schema = "doc_id long, at int, n_words int, h1 long, h2 long, bands binary, shingles binary, cuts binary"
     units = cut(docs.select("doc_id", "text").where("doc_id is not null and text is not null and text <> ''").mapInPandas(_paragraphs, schema))
 
     lines = units.where("cuts is null")
-    # Copies meet first: from now on each text stands once, under the pair of its hashes, and node names it.
-    distinct = cut(lines.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles")).withColumn("node", F.xxhash64("h1", "h2")))
-    found = components(near_paragraphs(distinct.select("node", "bands", "shingles")))
-    classed = distinct.select("h1", "h2", "least", "most", "node").join(found, "node", "left").select("h1", "h2", "least", "most", F.coalesce("root", "node").alias("root"))
+    # Copies meet first: from now on each text stands once, named by its first hash, with its first place.
+    distinct = cut(lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("most"), F.first("bands").alias("bands")).withColumn("node", F.col("h1")))
+    found = components(near_paragraphs(distinct.select("node", "first.doc_id", "first.at", "bands"), lines))
+    classed = distinct.select("h1", "h2", F.col("first.doc_id").alias("least"), "most", "node").join(found, "node", "left").select("h1", "h2", "least", "most", F.coalesce("root", "node").alias("root"))
     of = classed.groupBy("root").agg(F.min("least").alias("class_id"), F.max("most").alias("most")).where("class_id < most")
     names = classed.join(of.select("root", "class_id"), "root").select("h1", "h2", "class_id")
     whole = lines.select("doc_id", "at", "n_words", "h1", "h2").join(names, ["h1", "h2"]).select("doc_id", F.lit("paragraph").alias("kind"), F.col("at").alias("start_word"), "n_words", "class_id")
 
-    cuts = units.where("cuts is not null").select("doc_id", "cuts").mapInPandas(_cuts, "doc_id long, at int, h1 long, h2 long")
-    shared = cuts.groupBy("h1", "h2").agg(F.min("doc_id").alias("class_id"), F.max("doc_id").alias("most")).where("class_id < most").select("h1", "h2", "class_id")
-    parts = _runs(cuts.join(shared, ["h1", "h2"]).select("doc_id", "class_id", "at")).select("doc_id", F.lit("passage").alias("kind"), "start_word", "n_words", "class_id")
+    cuts = units.where("cuts is not null").select("doc_id", "cuts").mapInPandas(_cuts, "doc_id long, at int, h1 long, h2 int")
+    several = cuts.groupBy("h1").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1")
+    again = cut(cuts.join(several, "h1", "left_semi"))  # few: all that follows is over these
+    shared = again.groupBy("h1", "h2").agg(F.min("doc_id").alias("class_id"), F.max("doc_id").alias("most")).where("class_id < most").select("h1", "h2", "class_id")
+    parts = _runs(again.join(shared, ["h1", "h2"]).select("doc_id", "class_id", "at")).select("doc_id", F.lit("passage").alias("kind"), "start_word", "n_words", "class_id")
     return whole.unionByName(parts).withColumn("keep", F.col("doc_id") == F.col("class_id"))
 
 
 def _runs(cuts: DataFrame) -> DataFrame:
     """(doc_id, class_id, start_word, n_words): overlapping cuts of one document and class, put together."""
     order = Window.partitionBy("doc_id", "class_id").orderBy("at")
-    new = F.coalesce(F.col("at") > F.lag("at").over(order) + LEAST_WORDS, F.lit(True)).cast("int")
+    new = F.coalesce(F.col("at") > F.lag("at").over(order) + CUT_WORDS, F.lit(True)).cast("int")
     runs = cuts.distinct().withColumn("new", new).withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return runs.groupBy("doc_id", "class_id", "run").agg(F.min("at").alias("start_word"), (F.max("at") + LEAST_WORDS - F.min("at")).alias("n_words")).drop("run")
+    return runs.groupBy("doc_id", "class_id", "run").agg(F.min("at").alias("start_word"), (F.max("at") + CUT_WORDS - F.min("at")).alias("n_words")).drop("run")
