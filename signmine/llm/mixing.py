@@ -76,6 +76,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, ramps: Sequence[flo
     )
     hexed = lambda a: F.conv(F.substring("__key", a, 5), 16, 10).cast("long")
     rows = rows.withColumn("__b", hexed(1)).withColumns({"__b1": F.shiftright("__b", 10), "__b2": F.col("__b").bitwiseAND(1023)})
+    if not kept:  # a few numbers for each document: the text is read once
+        rows = cut(rows)
     # An explicit null marker: a join doesn't match null sources otherwise.
     rows = rows.withColumn("__s", F.concat(F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.lit("s")), F.coalesce("source", F.lit(""))))
     small = cut(rows.groupBy("__s", "__b1", "__b2").agg(F.sum("__n").alias("__n"), F.first("source").alias("source")))
