@@ -112,7 +112,7 @@ def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model:
         return Model()
     drawn = ratings.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < (1 << 20) * min(1.0, sample / total)).limit(2 * sample)
     # The drawn ratings number 2 * sample at most: a broadcast of proven size.
-    found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("grade", "text").limit(4 * sample).mapInPandas(_rows, "grade int, buckets binary").toPandas()
+    found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("grade", "text").mapInPandas(_rows, "grade int, buckets binary").limit(4 * sample).toPandas()
     rows = [np.frombuffer(b, np.int32).astype(np.int64) for b in found["buckets"]]
     return fit(rows, found["grade"].to_numpy(int))
 
