@@ -160,7 +160,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE, epochs: int = 3, alpha: flo
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / n))).otherwise(share)
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20)
-    drawn = rows.where(draw).limit(3 * sample * len(langs)).mapInPandas(_rows, "lang string, buckets binary, tf binary").toPandas()
+    drawn = rows.where(draw).mapInPandas(_rows, "lang string, buckets binary, tf binary").limit(3 * sample * len(langs)).toPandas()
     found = [model.vector((np.frombuffer(a, np.int32).astype(np.int64), np.frombuffer(b, np.float32).astype(float))) for a, b in zip(drawn["buckets"], drawn["tf"], strict=True)]
     labels = np.array([langs.index(x) for x in drawn["lang"]], int)
     apart = np.random.default_rng(5).random(len(found)) < 0.2
