@@ -25,7 +25,7 @@ def write_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def read_index(spark, path: str) -> DataFrame:
-    return spark.read.schema("row long, url string, shard string").parquet(path)
+    return spark.read.schema("row long, url string, shard string").option("pathGlobFilter", "*.parquet").parquet(path)
 
 
 def manifest(rows: DataFrame) -> DataFrame:

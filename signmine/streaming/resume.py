@@ -17,7 +17,7 @@ ITEM_SCHEMA = "row long, url string, shard string"
 
 def by_shard(spark: SparkSession, index_path: str, files_per_batch: int = 1) -> DataFrame:
     """The index as a stream of its files."""
-    return spark.readStream.schema(ITEM_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(index_path).select("shard", "row", "url")
+    return spark.readStream.schema(ITEM_SCHEMA).option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", "*.parquet").parquet(index_path).select("shard", "row", "url")
 
 
 def by_row(spark: SparkSession, index_path: str, rows_per_batch: int) -> DataFrame:
