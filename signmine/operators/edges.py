@@ -92,7 +92,8 @@ def detected(images: DataFrame, codec: Codec, detectors: Callable[[], Sequence[D
                         width, height = codec.size(image)
                         for q, (poly, score) in enumerate(polygons or ()):
                             out.append((shard, row, width, height, det, q, [{"x": float(x), "y": float(y)} for x, y in poly], 1.0 if score is None else float(score)))
-            yield pd.DataFrame(out, columns=["shard", "row", "width", "height", "det", "q", "poly", "score"])
+            if out:
+                yield pd.DataFrame(out, columns=["shard", "row", "width", "height", "det", "q", "poly", "score"])
 
     return images.select("shard", "row", "data").mapInPandas(run, "shard string, row long, width int, height int, det int, q int, poly array<struct<x:float,y:float>>, score double")
 
@@ -107,7 +108,9 @@ def cropped(boxes: DataFrame, images: DataFrame, codec: Codec) -> DataFrame:
                 image = codec.decode(x.data)
                 parts.append(None if image is None else codec.crop(image, x.left, x.top, x.right, x.bottom))
             out = rows.drop(columns="data").assign(jpeg=parts)
-            yield out[out["jpeg"].notna()]
+            out = out[out["jpeg"].notna()]
+            if len(out):
+                yield out
 
     both = boxes.select("shard", "row", "c", "left", "top", "right", "bottom", "score").join(images.select("shard", "row", "data"), ["shard", "row"])
     return both.mapInPandas(run, "shard string, row long, c int, left int, top int, right int, bottom int, score double, jpeg binary")
