@@ -140,7 +140,8 @@ def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = [(lang, features(text)) for lang, text in zip(batch["lang"], batch["text"], strict=True)]
         found = [(lang, x) for lang, x in found if x is not None]
-        yield pd.DataFrame({"lang": [lang for lang, _ in found], "buckets": [x[0].astype(np.int32).tobytes() for _, x in found], "tf": [x[1].astype(np.float32).tobytes() for _, x in found]})
+        if found:  # Arrow makes no plain array of an empty binary column
+            yield pd.DataFrame({"lang": [lang for lang, _ in found], "buckets": [x[0].astype(np.int32).tobytes() for _, x in found], "tf": [x[1].astype(np.float32).tobytes() for _, x in found]})
 
 
 def train(labelled: DataFrame, sample: int = SAMPLE, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.05, l2: float = 0.1) -> Model:

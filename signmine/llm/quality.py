@@ -102,7 +102,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, epochs: int = 12, rate: floa
 
 def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"grade": batch["grade"].astype("int32"), "buckets": [features(x if isinstance(x, str) else None).astype(np.int32).tobytes() for x in batch["text"]]})
+        if len(batch):  # Arrow makes no plain array of an empty binary column
+            yield pd.DataFrame({"grade": batch["grade"].astype("int32"), "buckets": [features(x if isinstance(x, str) else None).astype(np.int32).tobytes() for x in batch["text"]]})
 
 
 def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model:

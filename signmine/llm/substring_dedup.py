@@ -127,7 +127,8 @@ def _paragraphs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(rows) > 5000:
                 yield pd.DataFrame(rows, columns=_COLUMNS)
                 rows = []
-        yield pd.DataFrame(rows, columns=_COLUMNS)
+        if rows:  # Arrow makes no plain array of an empty binary column
+            yield pd.DataFrame(rows, columns=_COLUMNS)
 
 
 _COLUMNS = ["doc_id", "at", "n_words", "h1", "h2", "bands", "shingles", "cuts"]
@@ -215,7 +216,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
     kind "paragraph": a line of LEAST_WORDS words or more. Lines of the same words are one class; lines whose sets of five-word shingles have a Jaccard
     similarity of 0.8 or more are linked (MinHash bands tuned for a recall of 0.995 at 0.8, then exact similarity), and components of links are classes.
-    kind "passage": a run of CUT_WORDS words or more that another document has word for word, wherever it stands, line ends included: overlapping cuts of CUT_WORDS words, of
+    kind "passage": words that another document has word for word, wherever they stand, line ends included: neighbouring cuts of CUT_WORDS words, of
     which one at least lies in every run of 50 words that two documents share. Words are parted by white space and lower-cased.
     class_id is the least doc_id of the class, start_word the place of the passage's first word in its document. keep is true for the class's documents of that
     id alone: what the others repeat can be removed. Rows of one doc_id are one document; classes that one document has to itself are left out.
@@ -237,14 +238,26 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     cuts = units.where("cuts is not null").select("doc_id", "cuts").mapInPandas(_cuts, "doc_id long, at int, h1 long, h2 int")
     several = cuts.groupBy("h1").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1")
     again = cut(cuts.join(several, "h1", "left_semi"))  # few: all that follows is over these
-    shared = again.groupBy("h1", "h2").agg(F.min("doc_id").alias("class_id"), F.max("doc_id").alias("most")).where("class_id < most").select("h1", "h2", "class_id")
-    parts = _runs(again.join(shared, ["h1", "h2"]).select("doc_id", "class_id", "at")).select("doc_id", F.lit("passage").alias("kind"), "start_word", "n_words", "class_id")
+    shared = again.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1", "h2")
+    parts = _runs(again.join(shared, ["h1", "h2"]).select("doc_id", "at", F.col("h1").alias("node")).distinct()).select("doc_id", F.lit("passage").alias("kind"), "start_word", "n_words", "class_id")
     return whole.unionByName(parts).withColumn("keep", F.col("doc_id") == F.col("class_id"))
 
 
 def _runs(cuts: DataFrame) -> DataFrame:
-    """(doc_id, class_id, start_word, n_words): overlapping cuts of one document and class, put together."""
-    order = Window.partitionBy("doc_id", "class_id").orderBy("at")
-    new = F.coalesce(F.col("at") > F.lag("at").over(order) + CUT_WORDS, F.lit(True)).cast("int")
-    runs = cuts.distinct().withColumn("new", new).withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return runs.groupBy("doc_id", "class_id", "run").agg(F.min("at").alias("start_word"), (F.max("at") + CUT_WORDS - F.min("at")).alias("n_words")).drop("run")
+    """(doc_id, class_id, start_word, n_words): neighbouring cuts of one document and class put together.
+
+    Which cuts are chosen near a passage's ends depends on what stands about it. So cuts are linked that overlap in some document, or that stand within a window
+    of each other in the same way in two documents; components of cuts are the classes: a passage's cuts have one class wherever it stands.
+    """
+    cuts = cut(cuts)
+    order = Window.partitionBy("doc_id").orderBy("at", "node")
+    pairs = cuts.select("doc_id", F.col("node").alias("a"), F.lag("node").over(order).alias("b"), (F.col("at") - F.lag("at").over(order)).alias("gap")).where(F.col("gap") <= ANCHOR_WINDOW)
+    alike = pairs.groupBy("a", "b", "gap").agg((F.min("doc_id") < F.max("doc_id")).alias("alike"))
+    found = components(alike.where((F.col("gap") <= CUT_WORDS) | F.col("alike")).select("a", "b").distinct())
+    named = cuts.join(found, "node", "left").select("doc_id", "at", F.coalesce("root", "node").alias("root"))
+    least = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    own = Window.partitionBy("doc_id", "root").orderBy("at")
+    new = F.coalesce(F.col("at") > F.lag("at").over(own) + ANCHOR_WINDOW, F.lit(True)).cast("int")
+    runs = named.withColumn("new", new).withColumn("run", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = runs.groupBy("doc_id", "root", "run").agg(F.min("at").alias("start_word"), (F.max("at") + CUT_WORDS - F.min("at")).alias("n_words"))
+    return spans.join(least, "root").select("doc_id", "class_id", "start_word", "n_words")
