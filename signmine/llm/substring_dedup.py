@@ -236,7 +236,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     whole = lines.select("doc_id", "at", "n_words", "h1", "h2").join(names, ["h1", "h2"]).select("doc_id", F.lit("paragraph").alias("kind"), F.col("at").alias("start_word"), "n_words", "class_id")
 
     cuts = units.where("cuts is not null").select("doc_id", "cuts").mapInPandas(_cuts, "doc_id long, at int, h1 long, h2 int")
-    several = cuts.groupBy("h1").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1")
+    # Written, so that the join below has an exchange of its own, whose large partitions adaptive execution splits: a passage may stand in very many documents.
+    several = cut(cuts.groupBy("h1").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1"))
     again = cut(cuts.join(several, "h1", "left_semi"))  # few: all that follows is over these
     shared = again.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1", "h2")
     parts = _runs(again.join(shared, ["h1", "h2"]).select("doc_id", "at", F.col("h1").alias("node")).distinct()).select("doc_id", F.lit("passage").alias("kind"), "start_word", "n_words", "class_id")
