@@ -24,8 +24,8 @@ CUT_WORDS = 21
 ANCHOR_WINDOW = 30
 #: Recall at SIMILARITY that the bands must reach, and hashes they may take.
 RECALL, MOST_HASHES = 0.995, 48
-#: A bucket's paragraphs are compared in blocks of so many.
-BLOCK = 512
+#: Words that are hashed at a time, and shingles whose MinHashes are computed at a time.
+WORDS_BLOCK, BANDS_BLOCK = 1 << 15, 1 << 10
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -64,11 +64,21 @@ def _shingles(words: np.ndarray) -> np.ndarray:
     return _mixed(out)
 
 
-def bands_of(shingles: np.ndarray) -> np.ndarray:
-    low = np.min(_mixed(shingles[:, None] * _A + _B), axis=0).reshape(BANDS, ROWS)
-    out = np.arange(BANDS, dtype=np.uint64)
+def bands_of(shingles: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A row of bands for each run [start, end) of shingles; the runs are in order and none is empty. Shingles are mixed, so linear hashes of them do."""
+    low = np.full((len(starts), BANDS * ROWS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(shingles), BANDS_BLOCK):
+        first, last = np.searchsorted(ends, at, "right"), np.searchsorted(starts, at + BANDS_BLOCK)
+        if first < last:  # runs that reach into this block
+            x = shingles[at : at + BANDS_BLOCK, None] * _A
+            x += _B
+            edges = np.stack([np.maximum(starts[first:last] - at, 0), np.minimum(ends[first:last] - at, len(x))], axis=1).ravel()
+            found = np.minimum.reduceat(x, edges[:-1] if edges[-1] == len(x) else edges, axis=0)[::2]
+            np.minimum(low[first:last], found, out=low[first:last])
+    low = low.reshape(len(starts), BANDS, ROWS)
+    out = np.tile(np.arange(BANDS, dtype=np.uint64), (len(starts), 1))
     for i in range(ROWS):
-        out = _mixed(out * np.uint64(_BASE) + low[:, i])
+        out = _mixed(out * np.uint64(_BASE) + low[:, :, i])
     return out.view(np.int64)
 
 
@@ -88,14 +98,33 @@ def _powers(n: int, kept: dict[str, np.ndarray] = {}) -> tuple[np.ndarray, np.nd
     return kept["up"], kept["down"]
 
 
-def word_hashes(text: str) -> np.ndarray:
-    words = text.lower().split()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, (w.encode("utf-8", "replace") for w in words)), np.uint64, len(words))
+#: The code points that str.split() parts words at; the last place stands for all that follow.
+_SPACE = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
 
 
-def passages(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased words, and the number of words before each line and at the end.
+
+    A word's hash is a polynomial in its mixed code points, taken from prefix sums over a block of words.
+    """
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    inside = np.concatenate([[False], ~_SPACE[np.minimum(points, len(_SPACE) - 1)], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    lines = np.concatenate([[0], np.searchsorted(starts, np.flatnonzero(points == 10)), [len(starts)]])
+    hashes = np.zeros(len(starts), np.uint64)
+    for at in range(0, len(starts), WORDS_BLOCK):
+        a, b = starts[at : at + WORDS_BLOCK], ends[at : at + WORDS_BLOCK]
+        body = _mixed((points[a[0] : b[-1]].astype(np.uint64) + np.uint64(1)) * np.uint64(_BASE))
+        up, down = _powers(len(body) + 1)
+        total = np.concatenate([np.zeros(1, np.uint64), (body * up[: len(body)]).cumsum(dtype=np.uint64)])
+        hashes[at : at + WORDS_BLOCK] = _mixed((total[b - a[0]] - total[a - a[0]]) * down[a - a[0]])
+    return hashes, lines
+
+
+def passages(words: np.ndarray, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, first signature, second signature) of the CUT_WORDS words from each anchor on."""
-    starts = anchors(_shingles(words)) if len(words) >= CUT_WORDS + ANCHOR_WINDOW - 1 else np.zeros(0, np.int64)
+    starts = anchors(shingles) if len(words) >= CUT_WORDS + ANCHOR_WINDOW - 1 else np.zeros(0, np.int64)
     starts = starts[starts + CUT_WORDS <= len(words)]
     up, down = _powers(len(words) + 1)
     signatures = []
@@ -110,16 +139,18 @@ def _paragraphs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows: list[tuple] = []
         for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-            at, parts = 0, []
-            for line in text.split("\n"):
-                hashes = word_hashes(line)
-                if len(hashes) >= LEAST_WORDS:
-                    shingles = np.unique(_shingles(hashes))
-                    whole = xxhash.xxh3_128_digest(hashes.tobytes())
-                    rows.append((doc_id, at, len(hashes), *np.frombuffer(whole, np.int64).tolist(), bands_of(shingles).astype(np.int32).tobytes(), shingles.astype(np.uint32).tobytes(), None))
-                at += len(hashes)
-                parts.append(hashes)
-            starts, one, two = passages(np.concatenate(parts))
+            words, lines = word_hashes(text)
+            if len(words) < LEAST_WORDS:
+                continue
+            shingles = _shingles(words)
+            long = np.flatnonzero(np.diff(lines) >= LEAST_WORDS)
+            first, last = lines[long], lines[long + 1]
+            bands = bands_of(shingles, first, last - SHINGLE + 1).astype(np.int32)
+            for a, b, keys in zip(first.tolist(), last.tolist(), bands, strict=True):
+                whole = xxhash.xxh3_128_digest(words[a:b].tobytes())
+                distinct = np.unique(shingles[a : b - SHINGLE + 1])
+                rows.append((doc_id, a, b - a, *np.frombuffer(whole, np.int64).tolist(), keys.tobytes(), distinct.astype(np.uint32).tobytes(), None))
+            starts, one, two = passages(words, shingles)
             if len(starts):
                 cuts = np.empty(len(starts), [("at", "<i4"), ("one", "<i8"), ("two", "<i4")])
                 cuts["at"], cuts["one"], cuts["two"] = starts, one, two
