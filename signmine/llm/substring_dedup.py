@@ -270,7 +270,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     # Written, so that the join below has an exchange of its own, whose large partitions adaptive execution splits: a passage may stand in very many documents.
     several = cut(cuts.groupBy("h1").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1"))
     again = cut(cuts.join(several, "h1", "left_semi"))  # few: all that follows is over these
-    shared = again.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1", "h2")
+    shared = cut(again.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1", "h2"))  # for the same reason
     parts = _runs(again.join(shared, ["h1", "h2"]).select("doc_id", "at", F.col("h1").alias("node")).distinct()).select("doc_id", F.lit("passage").alias("kind"), "start_word", "n_words", "class_id")
     return whole.unionByName(parts).withColumn("keep", F.col("doc_id") == F.col("class_id"))
 
