@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,9 +91,10 @@ class Index:
     """A benchmark's seeds, for one task's memory."""
 
     def __init__(self, items: list[tuple[int, str]], seed: int, least: int):
-        self.words = {i: words(text) for i, text in items}
+        self.ids = [i for i, _ in items]
+        self.words = [words(text) for _, text in items]
         self.least, self.by_length = least, defaultdict(dict)
-        for i, tokens in self.words.items():
+        for i, tokens in enumerate(self.words):
             for s in seeds_of(tokens, seed):
                 self.by_length[len(s)].setdefault(s, set()).add(i)
 
@@ -104,7 +106,7 @@ class Index:
             keys = seeds.keys()
             if not keys.isdisjoint(zip(*(tokens[i:] for i in range(n)), strict=False)):
                 hit.update(*(seeds[s] for s in set(zip(*(tokens[i:] for i in range(n)), strict=False)) & keys))
-        return [(i, len(self.words[i]), sum(x[2] for x in found), len(found)) for i in sorted(hit) if (found := tile(self.words[i], tokens, min(self.least, len(self.words[i]))))]
+        return [(self.ids[i], len(self.words[i]), sum(x[2] for x in found), len(found)) for i in sorted(hit) if (found := tile(self.words[i], tokens, min(self.least, len(self.words[i]))))]
 
 
 _HITS = "array<struct<item_id:bigint,n_words:int,covered:int,tiles:int>>"
@@ -123,17 +125,34 @@ def _small(benchmark: DataFrame, most: int) -> bool:
     return (n or 0) <= most
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.where("item_id is not null and text is not null").select("item_id", F.col("text").alias("item")).distinct()
+
+
 def _index(benchmark: DataFrame, seed: int, least: int) -> Index:
-    rows = benchmark.where("item_id is not null and text is not null").select("item_id", "text").collect()  # bounded by _small()
-    return Index([(r[0], r[1]) for r in rows], seed, least)
+    rows = _items(benchmark).collect()  # bounded by _small()
+    return Index(sorted((r["item_id"], r["item"]) for r in rows), seed, least)
+
 
+@F.pandas_udf(T.IntegerType())
+def _seed_length(texts: pd.Series) -> pd.Series:
+    """Words of an item's seeds."""
+    return pd.Series([min(SEED, len(words(t))) for t in texts], dtype="int32")
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _seed_hashes(texts: pd.Series) -> pd.Series:
-    """Hashes of the distinct seeds of SEED words, and of each shorter text whole."""
-    import xxhash
 
-    return pd.Series([[int(np.uint64(h).astype(np.int64)) for h in {xxhash.xxh64_intdigest(" ".join(s)) for s in seeds_of(words(t if isinstance(t, str) else None))}] for t in texts], dtype=object)
+def _seed_hashes(lengths: list[int] | None = None):
+    """Hashes of a text's distinct runs of words of these lengths; without lengths, of an item's own seeds."""
+
+    def of(text: str | None) -> list[int]:
+        tokens = words(text)
+        runs = seeds_of(tokens) if lengths is None else (run for n in lengths for run in zip(*(tokens[i:] for i in range(n)), strict=False))
+        return np.fromiter({xxhash.xxh64_intdigest(" ".join(run).encode("utf-8", "replace")) for run in runs}, np.uint64).view(np.int64).tolist()
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def hashes(texts: pd.Series) -> pd.Series:
+        return pd.Series([of(t if isinstance(t, str) else None) for t in texts], dtype=object)
+
+    return hashes
 
 
 @F.pandas_udf(T.StructType([T.StructField(c, T.IntegerType()) for c in ("n_words", "covered", "tiles")]))
@@ -147,20 +166,27 @@ def _tile_udf(items: pd.Series, texts: pd.Series) -> pd.DataFrame:
 
 
 def _by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Pairs that share a seed, tiled, for benchmarks of any size: items of SEED words or more, and documents by doc_id."""
-    items = benchmark.where("item_id is not null and text is not null").select("item_id", F.col("text").alias("item"))
-    texts = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
-    left = texts.select("doc_id", F.explode(_seed_hashes(F.col("text"))).alias("seed"))
-    pairs = left.join(items.select("item_id", F.explode(_seed_hashes(F.col("item"))).alias("seed")), "seed").select("doc_id", "item_id").distinct()
-    both = pairs.join(items, "item_id").join(texts, "doc_id")
-    return both.select("doc_id", "item_id", _tile_udf(F.col("item"), F.col("text")).alias("x")).select("doc_id", "item_id", "x.*")
+    """Pairs that share a seed, tiled, for benchmarks of any size: doc_id, key, item_id, n_words, covered, tiles.
+
+    A document is known by its text's md5, key, and an item by its id and its own: so rows without a doc_id, or of the same one, are as any other.
+    """
+    items = _items(benchmark).withColumn("item_key", F.md5("item"))
+    texts = docs.select("doc_id", "text").where("text is not null").withColumn("key", F.md5("text"))
+    lengths = sorted(r[0] for r in items.select(_seed_length("item").alias("n")).distinct().collect() if r[0])  # SEED numbers at most
+    left = texts.select("key", F.explode(_seed_hashes(lengths)("text")).alias("seed"))
+    right = items.select("item_id", "item_key", F.explode(_seed_hashes()("item")).alias("seed"))
+    pairs = left.join(right, "seed").select("key", "item_id", "item_key").distinct()
+    both = pairs.join(items, ["item_id", "item_key"]).join(texts, "key")
+    return both.select("doc_id", "key", "item_id", _tile_udf(F.col("item"), F.col("text")).alias("x")).select("doc_id", "key", "item_id", "x.*")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, most_words: int = MOST_WORDS) -> DataFrame:
     """Leaks: a row for each row of docs and item of which `coverage` or more of the words lie in tiles: doc_id, item_id, n_words, covered, tiles, coverage.
 
     Words are runs of letters, digits and _, lower-cased. A pair is tiled if it shares a seed of SEED words (items of fewer words: the whole item). Null and empty texts on
-    either side never match. Repeated rows of docs give their rows each. Empty tables give no rows. Other columns play no part.
+    either side never match. Repeated rows of docs give their rows each, and those without a doc_id too; of the benchmark, repeated rows count once, and different texts of
+    one item_id are items of their own. Empty tables give no rows. Other columns play no part. Beyond most_words, seeds are joined by shuffling and not sent to every task;
+    the rows are the same.
     """
     if _small(benchmark, most_words):
         index = _index(benchmark, SEED, LEAST_TILE)
@@ -171,10 +197,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, most_words: int = MOST_WORDS) -> DataFrame:
-    """docs without the documents that contamination() finds; columns stay as they are. Documents with null text or null doc_id stay, unless a small benchmark's item is found in the latter."""
+    """docs without the documents that contamination() finds; columns stay as they are, and so do documents with null text. Each row goes or stays by its own text."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
     if _small(benchmark, most_words):
         hits = _search_udf(_index(benchmark, SEED, LEAST_TILE))(F.col("text"))
         return docs.withColumn("__hits", hits).where(~F.exists("__hits", lambda x: x["covered"] / x["n_words"] >= coverage)).select(*columns)
-    gone = contamination(docs, benchmark, coverage, most_words).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti").select(*columns)
+    gone = _by_shuffle(docs, benchmark).where(F.col("covered") / F.col("n_words") >= coverage).select(F.col("key").alias("__gone")).distinct()
+    return docs.join(gone, F.md5(docs["text"]) == gone["__gone"], "left_anti").select(*columns)

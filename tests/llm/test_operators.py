@@ -237,6 +237,34 @@ def test_tiling_covers_what_greedy_search_covers(seed):
     assert abs(len(covered) - slow_tiles(p, t, 3)) <= 6
 
 
+def test_large_and_small_benchmarks_find_the_same(spark):
+    rng = random.Random(8)
+    vocabulary = [f"v{i}" for i in range(12)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 2, 3, 4, 5, 6, 9])))) for i in range(25)]
+    items += [items[3], (3, "another text of one id"), (40, ""), (41, None)]
+    docs = [(rng.choice([None, *range(30)]), " ".join(rng.choices(vocabulary, k=rng.randrange(25)))) for _ in range(60)]
+    docs += [(1, items[5][1]), (1, "so: Another text of one ID"), docs[0], (2, None), (3, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    expected, clean = [], []
+    for doc_id, text in docs:
+        mine = []
+        for item_id, item in set(items):
+            p, t = decontaminate.words(item), decontaminate.words(text)
+            n = min(decontaminate.SEED, len(p))
+            if n and set(decontaminate.seeds_of(p)) & {tuple(t[i : i + n]) for i in range(len(t) - n + 1)}:
+                covered = sum(x[2] for x in decontaminate.tile(p, t, min(decontaminate.LEAST_TILE, len(p))))
+                if covered / len(p) >= decontaminate.COVERAGE:
+                    mine.append((str(doc_id), item_id, len(p), covered))
+        expected += mine
+        clean += [] if mine else [(str(doc_id), str(text))]
+    assert len(expected) > 20 and len(clean) > 5 and any(x[0] == "None" for x in expected)
+    for most in (decontaminate.MOST_WORDS, 0):
+        found = decontaminate.contamination(table, bench, most_words=most).collect()
+        assert sorted((str(r["doc_id"]), r["item_id"], r["n_words"], r["covered"]) for r in found) == sorted(expected)
+        assert sorted((str(r["doc_id"]), str(r["text"])) for r in decontaminate.decontaminate(table, bench, most_words=most).collect()) == sorted(clean)
+
+
 def test_reordered_passages_are_caught_and_parts_are_not(spark):
     words = [f"b{i}" for i in range(30)]
     parts = [words[20:], words[:10], words[10:20]]
