@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from itertools import combinations
 
@@ -276,13 +276,18 @@ def one_of_each(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     Where several rows have that doc_id, or a component has no doc_id at all, one of its rows stays.
     """
-    found = cut(near_duplicates(docs, distance))
+    return keep_one(docs, near_duplicates(docs, distance), fingerprint_udf)
+
+
+def keep_one(docs: DataFrame, found: DataFrame, name: Callable[[Column], Column]) -> DataFrame:
+    """Of each component of found, which has the columns of near_duplicates(), one row of docs; name(text) is found's fp."""
+    found = cut(found)
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows, ids = found.agg(F.count("*"), F.countDistinct("doc_id")).first()
     if rows == ids:
         kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id"))
         return docs.join(kept, docs["doc_id"] == kept["__id"], "left_semi").select(*columns)
-    # Repeated or missing ids don't name a row: rows are told apart by their fingerprints' components.
+    # Repeated or missing ids don't name a row: rows are told apart by the components of what name(text) gives.
     of = found.select(F.col("fp").alias("__fp"), F.col("root").alias("__root"), F.col("component_id").alias("__component")).distinct()
-    named = docs.withColumn("__fp", fingerprint_udf(F.col("text"))).join(of, "__fp")
+    named = docs.withColumn("__fp", name(F.col("text"))).join(of, "__fp")
     return named.where(F.col("doc_id").eqNullSafe(F.col("__component"))).dropDuplicates(["__root"]).select(*columns)

@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from signmine.llm import decontaminate, html, langid, line_dedup, mixing, quality, queries, secrets, simhash, substring_dedup, topk
 from signmine.llm.common import components
 
@@ -444,3 +445,30 @@ def test_thresholds_stay_in_order():
     rows = [np.unique(rng.integers(0, 50, 8)) for _ in range(200)]
     model = quality.fit(rows, np.array([int(r.min() < 5) + int(r.max() > 45) for r in rows]))
     assert model.thresholds[0] < model.thresholds[1]
+
+
+# --- the pipeline's near-dedup ------------------------------------------------------------------
+
+
+def test_near_dedup_stage_against_brute_force(spark):
+    rng = random.Random(12)
+    docs = []
+    for i in range(120):
+        words = text(rng, rng.randint(5, 300), 5000).split()
+        docs.append(" ".join(words))
+        for _ in range(rng.randint(0, 2)):  # copies with a word in 15 to 150 changed
+            changed = list(words)
+            for at in rng.sample(range(len(words)), len(words) // rng.randint(15, 150)):
+                changed[at] = f"new{rng.randrange(5000)}"
+            docs.append(" ".join(changed).upper())
+    docs += ["a b", "b a", "A  b", "", " \n", None]
+    rng.shuffle(docs)
+    words = [(t or "").lower().split() for t in docs]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
+    want, far = Sets(), 0
+    for a, b in combinations(range(len(docs)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            want.join(a, b)
+            far += (slow_fingerprint(docs[a]) ^ slow_fingerprint(docs[b])).bit_count() > simhash.DISTANCE
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), "").collect()}
+    assert kept == {want.root(i) for i in range(len(docs))} and far > 10
