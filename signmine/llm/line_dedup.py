@@ -87,3 +87,34 @@ def dedup_lines(docs: DataFrame, least_lines: int = 2, divisor: int = DIVISOR, w
     out = joined.withColumn("__rest", F.when(F.col("text").isNotNull(), rest))
     new = {"text": F.col("__rest"), "n_chars": F.length("__rest").cast("long")}
     return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+
+
+def dedup_blocks(docs: DataFrame, least_lines: int = 2) -> DataFrame:
+    """docs without any line that lies in a run of least_lines lines which stands, word for word, in an earlier place too; other columns as with dedup_lines().
+
+    Chunks end where hashes say, and a short block that two documents share mostly has no whole chunk in it. Here every run of least_lines lines counts, wherever it stands: so
+    shared blocks of that length or longer go wherever they stand again (places are in order of doc_id, null last, then of lines). All that dedup_lines() removes goes as well.
+    A line always stays where its text stands first, whatever run it lies in there. Runs are compared by their SHA-256: the runs themselves,
+    each line in two of them, would take more disk than there is.
+    """
+    lines = F.split(F.col("text"), "\n", -1)
+    n = F.size(lines)
+    places = F.when(n >= least_lines, F.sequence(F.lit(0), n - least_lines))
+    run = lambda x, i: F.struct(i.alias("at"), F.unhex(F.sha2(F.concat_ws("\n", F.slice(x, i + 1, least_lines)), 256)).alias("key"))
+    # array(...) of one binds the lines, so that they are split once.
+    runs = F.flatten(F.transform(F.array(lines), lambda x: F.transform(places, lambda i: run(x, i))))
+    found = docs.select("doc_id", F.xxhash64("text").alias("t"), F.explode(runs).alias("r")).select("doc_id", "t", "r.*")
+    first = found.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "at")).alias("first")).where("n > 1")
+    gone = (
+        found.join(first, "key")
+        .where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("at") == F.col("first.at"))))
+        .groupBy(F.col("doc_id").alias("__doc"), F.col("t").alias("__t"))
+        .agg(F.collect_set("at").alias("__gone"))
+    )
+    out = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(least_lines - 1)), lambda k: F.transform("__gone", lambda i: i + k)))
+    stays = F.array_except(F.sequence(F.lit(0), n - 1), out)
+    rest = F.get(F.transform(F.array(lines), lambda x: F.array_join(F.transform(stays, lambda i: F.get(x, i)), "\n")), 0)
+    joined = docs.withColumn("__hash", F.xxhash64("text")).join(gone, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__t")), "left")
+    renewed = joined.withColumn("__rest", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(rest))
+    new = {"text": F.col("__rest"), "n_chars": F.length("__rest").cast("long")}
+    return renewed.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])

@@ -472,3 +472,32 @@ def test_near_dedup_stage_against_brute_force(spark):
             far += (slow_fingerprint(docs[a]) ^ slow_fingerprint(docs[b])).bit_count() > simhash.DISTANCE
     kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), "").collect()}
     assert kept == {want.root(i) for i in range(len(docs))} and far > 10
+
+
+# --- the pipeline's line dedup ------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("size", range(2, 11))
+def test_line_stage_removes_planted_blocks(spark, size):
+    rng = random.Random(size)
+    blocks = [[text(rng, 8, 10_000) for _ in range(size)] for _ in range(20)]
+    own = lambda: [text(rng, 8, 10_000) for _ in range(rng.randint(1, 5))]
+    docs = [(i, [own(), blocks[i % 20], own()]) for i in range(60)]
+    rows = [(i, "\n".join(sum(parts, []))) for i, parts in docs]
+    found = {r["doc_id"]: r["text"] for r in corpus_pipeline.dedup_lines(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert found == {i: "\n".join(sum(parts if i < 20 else [parts[0], parts[2]], [])) for i, parts in docs}
+
+
+def test_line_stage_against_brute_force(spark):
+    rng = random.Random(4)
+    docs = [(i, "\n".join(rng.choice("abcdefgh") + rng.choice(["", "x", "y"]) for _ in range(rng.randint(1, 12)))) for i in range(40)] + [(None, "a\nb\nc"), (50, None), (51, ""), (52, "z\nz\nz\nz")]
+    first, want = {}, {}
+    for i, t in docs[:40] + docs[41:] + docs[40:41]:
+        lines = (t or "").split("\n")
+        gone = set()
+        for at in range(len(lines) - 1):
+            if first.setdefault((lines[at], lines[at + 1]), (i, at)) != (i, at):
+                gone |= {at, at + 1}
+        want[i] = None if t is None else "\n".join(x for at, x in enumerate(lines) if at not in gone)
+    found = {r["doc_id"]: r["text"] for r in corpus_pipeline.dedup_lines(spark, spark.createDataFrame(docs, "doc_id long, text string"), "").collect()}
+    assert found == want and want[52] == "z"
