@@ -15,8 +15,8 @@ from signmine.llm.common import components, cut
 
 #: Words of a shingle; least Jaccard similarity of two paragraphs' shingle sets.
 SHINGLE, SIMILARITY = 5, 0.8
-#: Shorter paragraphs are left to line dedup.
-LEAST_WORDS = 31
+#: Shorter paragraphs have no shingle.
+LEAST_WORDS = SHINGLE
 #: Words of a cut, as below.
 CUT_WORDS = 21
 #: Passages inside longer paragraphs: cut out from each word that a hash of its shingle chooses in some window of ANCHOR_WINDOW places.

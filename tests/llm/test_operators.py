@@ -384,6 +384,16 @@ def test_near_paragraphs_against_brute_force(spark):
     assert 1 - (1 - 0.8**rows) ** bands >= 0.995
 
 
+def test_short_paragraphs_are_found(spark):
+    rng = random.Random(14)
+    lines = {n: text(rng, n, 5000) for n in range(5, 31)}
+    near = {n: " ".join([*lines[n].split()[:-1], "other"]) for n in range(15, 31)}  # one shingle of n - 4 differs
+    docs = [(n, f"{text(rng, 8, 5000)}\n{lines[n].upper()}") for n in lines] + [(100 + n, f"{lines[n]}\n{text(rng, 8, 5000)}") for n in lines] + [(200 + n, near[n]) for n in near] + [(300, "a b c d"), (301, "a b c d")]
+    found = {(r["doc_id"], r["n_words"], r["class_id"]) for r in substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    exact = {(at + n, n, n) for n in lines for at in (0, 100)}
+    assert exact <= found and len({(200 + n, n, n) for n in near} - found) <= 1 and found <= exact | {(200 + n, n, n) for n in near}
+
+
 # --- 8: HTML ------------------------------------------------------------------------------------
 
 
