@@ -59,10 +59,22 @@ def finished_shards(done: DataFrame, more: DataFrame) -> DataFrame:
     return done.select("shard").unionByName(more.select("shard")).distinct()
 
 
+#: Places of a sequence that transitions() looks at together.
+RANGE = 10_000
+
+
 def transitions(items: DataFrame, order: str = "n") -> DataFrame:
-    """(order, shard, previous): where the shard of a sequence of items changes; previous is null at the first. The sequence is one worker's, so the window is over it alone."""
-    window = Window.orderBy(order)
-    return items.select(order, "shard", F.lag("shard").over(window).alias("previous")).where("previous is null or previous <> shard")
+    """(order, shard, previous): where the shard of a sequence of items changes; previous is null at the first. Items of one place are in order of their shards.
+
+    `order` is a number. The sequence is cut into ranges of RANGE places; the first item's previous is the last of the range before. One window goes over the ranges, a row each.
+    """
+    ranges = items.select(order, "shard", F.floor(F.col(order) / RANGE).alias("__range"))
+    ends = ranges.groupBy("__range").agg(F.max(F.struct(order, "shard")).alias("end"))
+    before = ends.select("__range", F.lag("end.shard").over(Window.orderBy("__range")).alias("__before")).withColumnRenamed("__range", "__of")
+    own = Window.partitionBy("__range").orderBy(order, "shard")
+    previous = F.when(F.row_number().over(own) == 1, F.col("__before")).otherwise(F.lag("shard").over(own))
+    found = ranges.join(before, F.col("__range").eqNullSafe(F.col("__of"))).select(order, "shard", previous.alias("previous"))
+    return found.where("previous is null or previous <> shard")
 
 
 def capped(items: DataFrame, cap: int) -> DataFrame:

@@ -254,6 +254,12 @@ def shard_transitions(spark, sf_dir):
     return metas.transitions(_table(spark, sf_dir, "events").where("event_id < 500").select(F.col("event_id").alias("n"), F.col("event_type").alias("shard")))
 
 
+@query("with t as (select event_id as n, event_type as shard, lag(event_type) over (order by event_id, event_type) as previous from events) select * from t where previous is null or previous <> shard")
+def shard_transitions_whole(spark, sf_dir):
+    """shard_transitions over all events."""
+    return metas.transitions(_table(spark, sf_dir, "events").select(F.col("event_id").alias("n"), F.col("event_type").alias("shard")))
+
+
 @query(f"with {_INDEX} select shard, row, url from idx where url is not null and url <> '' order by shard, row limit 37")
 def submission_cap(spark, sf_dir):
     return metas.capped(metas.work_items(_index(spark, sf_dir)), 37)
