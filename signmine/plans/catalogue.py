@@ -451,6 +451,13 @@ def fmt_secs(spark, sf_dir):
     return _table(spark, sf_dir, "events").where((F.col("event_id") % 3 != 0) & (x < 3600)).select("event_id", naming.readable_seconds(x).alias("text"))
 
 
+@query()
+def fmt_secs_whole(spark, sf_dir):
+    """fmt_secs over all events. SQL rounds ties otherwise, so tests hold it against Python."""
+    x = (F.col("event_id") * 7 + 3).cast("double")
+    return _table(spark, sf_dir, "events").select("event_id", naming.readable_seconds(x).alias("text"))
+
+
 @query("with n as (select p_partkey, (p_partkey * case p_partkey % 4 when 0 then 1 when 1 then 1000 when 2 then 1000000 else 1000000000 end)::bigint as n from part) select p_partkey, case when n >= 1000000000 and n % 1000000000 = 0 then (n // 1000000000) || 'B' when n >= 1000000 and n % 1000000 = 0 then (n // 1000000) || 'M' when n >= 1000 and n % 1000 = 0 then (n // 1000) || 'K' else n::varchar end as text from n")
 def short_count(spark, sf_dir):
     k = F.col("p_partkey")
