@@ -26,7 +26,8 @@ FOR = re.compile(r"(?i)(?:^|[^a-z])(?:article\w*|content\w*|main\w*|post\w*|entr
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*\"?')*)>|([^<]+|<)", re.S)
 _HINT = re.compile(r"(?i)\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
-_HIDDEN = re.compile(r"(?i)(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true")
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NOT_SHOWN = re.compile(r"(?i)(?:^|;)\s*display\s*:\s*none\b")
 _SPACE = re.compile(r"\s+")
 
 TAGS = ("html", "body", "article", "main", "section", "div", "p", "h1", "h2", "heading", "list", "li", "nav", "header", "footer", "aside", "form", "table", "cell", "quote", "figure", "button", "other")
@@ -51,12 +52,21 @@ class Page:
     chars: list[int] = field(default_factory=list)
 
 
+def hidden(attributes: str) -> bool:
+    """Whether an element has the attribute hidden, aria-hidden of true, or a style that doesn't display it; other attributes' values say nothing."""
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _NOT_SHOWN.search(value):
+            return True
+    return False
+
+
 def parse(source: str) -> Page:
     """Lenient: unknown ends are passed over, missing ends are supplied, as browsers mostly do. Comments, scripts, styles, titles and hidden elements leave nothing."""
     page = Page(["html"], [""], [-1], [], [0], [0])
     stack: list[tuple[str, int]] = [("html", 0)]  # open elements; inline ones have their block's node
     run: list[str] = []
-    skip, depth, links = "", 0, 0
+    links, hide = 0, 0  # hide: the place of a hidden element in the stack, if there is one
 
     def flush() -> None:
         if run:
@@ -68,9 +78,11 @@ def parse(source: str) -> Page:
             run.clear()
 
     def close(to: int) -> None:
-        nonlocal links
-        if any(t not in INLINE for t, _ in stack[to:]):
+        nonlocal links, hide
+        if any(t not in INLINE for t, _ in stack[to : hide or None]):
             flush()
+        if to <= hide:
+            hide = 0
         links -= sum(t == "a" for t, _ in stack[to:])
         del stack[to:]
 
@@ -79,18 +91,12 @@ def parse(source: str) -> Page:
         place = m.end()
         cdata, end, tag, attributes, text = m.groups()
         if tag is None:
-            if not skip and (text or cdata):
+            if not hide and (text or cdata):
                 run.append(text or cdata)
                 if links:
                     page.links[stack[-1][1]] += len(text or cdata)
             continue
         tag = tag.lower()
-        if skip:  # inside an element that shows nothing
-            if tag == skip:
-                depth += -1 if end else 1
-                if depth <= 0:
-                    skip = ""
-            continue
         if end:
             for at in range(len(stack) - 1, 0, -1):
                 if stack[at][0] == tag:
@@ -100,6 +106,8 @@ def parse(source: str) -> Page:
                     break
             continue
         if tag == "br" or tag == "hr" or tag in VOID:
+            if hide:
+                continue
             if tag == "hr":
                 flush()
             else:
@@ -110,11 +118,8 @@ def parse(source: str) -> Page:
             if not (tag in ("svg", "math") and attributes.endswith("/")):
                 place = ending.end() if ending else len(source)
             continue
-        if attributes and _HIDDEN.search(attributes):
-            if not attributes.endswith("/"):
-                skip, depth = tag, 1
-            continue
-        if tag in ("html", "head"):
+        off = bool(attributes) and hidden(attributes)
+        if off and attributes.endswith("/") or tag in ("html", "head"):
             continue
         if tag == "body":
             if any(t == "body" for t, _ in stack):
@@ -123,6 +128,8 @@ def parse(source: str) -> Page:
             if not attributes.endswith("/"):
                 stack.append((tag, stack[-1][1]))
                 links += tag == "a"
+                if off and not hide:
+                    hide = len(stack) - 1
             continue
         for at in range(len(stack) - 1, 0, -1):
             name = stack[at][0]
@@ -131,6 +138,11 @@ def parse(source: str) -> Page:
                 break
             if name not in INLINE and not (name == "p"):
                 break
+        if off or hide:  # no node, but open until something ends it
+            if not attributes.endswith("/"):
+                stack.append((tag, stack[-1][1]))
+                hide = hide or len(stack) - 1
+            continue
         flush()
         hint = " ".join(x for y in _HINT.findall(attributes) for x in y if x) if attributes else ""
         page.tags.append(tag)

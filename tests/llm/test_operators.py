@@ -457,6 +457,20 @@ def test_thresholds_stay_in_order():
     assert model.thresholds[0] < model.thresholds[1]
 
 
+@pytest.mark.parametrize("attribute", ['title="the hidden door"', 'class="overflow hidden x"', "data-x='display:none'", 'alt="aria-hidden=true"'])
+def test_values_hide_nothing(attribute):
+    assert [t for _, t in html.parse(f"<div><p {attribute}>one<p>two <a {attribute}>three</a></div><p>four").text] == ["one", "two three", "four"]
+
+
+@pytest.mark.parametrize("attribute", ["hidden", 'hidden=""', "HIDDEN", 'aria-hidden="true"', "aria-hidden=true", "style='color:red; display : none'"])
+def test_hidden_elements_end_where_others_do(attribute):
+    parsed = lambda x: [t for _, t in html.parse(x).text]
+    assert parsed(f"<div><p {attribute}>no<br>no<p>two</div>three") == ["two", "three"]
+    assert parsed(f"<ul><li>one<li {attribute}>no<li>two</ul>three") == ["one", "two", "three"]
+    assert parsed(f"<div><div {attribute}>no<div>no</div>no</div>two</div>three") == ["two", "three"]
+    assert parsed(f"<p>a<span {attribute}>no<b>no</b></span> b</p>") == ["a b"]
+
+
 # --- the pipeline's near-dedup ------------------------------------------------------------------
 
 
