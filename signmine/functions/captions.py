@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from signmine.functions import arrays
+
 # The whole words that speak of visible text.
 VISIBLE_TEXT_WORDS = ("text", "word", "words", "reads", "says", "displays", "written", "titled", "labeled", "labelled", "spelling", "inscription", "inscribed", "engraved")
 
@@ -25,21 +27,8 @@ def speaks_of_text(caption: Column) -> Column:
 
 
 def spans(text: Column, pattern: str, kind: str) -> Column:
-    """All hits of a pattern in text, as an array of structs (start, end, kind): code points, end exclusive.
-
-    What split() leaves and what regexp_extract_all() takes alternate, so running lengths give places.
-    """
-    gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("hit")))
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,kind:string>>)")
-
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + pair["gap"]
-        one = F.struct(start.alias("start"), (start + pair["hit"]).alias("end"), F.lit(kind).alias("kind"))
-        return F.struct((start + pair["hit"]).alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    found = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.isNotNull(), found).otherwise(empty)
+    """All hits of a pattern in text, as an array of structs (start, end, kind): code points, end exclusive."""
+    return F.transform(arrays.spans(text, pattern), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind")))
 
 
 def quoted_spans(text: Column) -> Column:
@@ -52,8 +41,13 @@ def word_spans(text: Column) -> Column:
 
 def without_overlaps(found: Column) -> Column:
     """Spans in order of (start, end, kind) without those that begin before the end of the last one kept."""
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,kind:string>>)")
-    return F.aggregate(F.array_sort(found), empty, lambda kept, s: F.when(s["start"] >= F.coalesce(F.get(kept, F.size(kept) - 1)["end"], F.lit(0)), F.concat(kept, F.array(s))).otherwise(kept))
+
+    def step(last: Column, s: Column) -> tuple[Column, Column]:
+        stays = s["start"] >= last
+        return F.when(stays, s["end"]).otherwise(last), F.when(stays, s)
+
+    kept = arrays.scan(F.array_sort(found), F.lit(0), step, "struct<start:int,end:int,kind:string>")
+    return F.filter(kept, lambda s: s.isNotNull())
 
 
 def escape_html(text: Column) -> Column:
@@ -65,12 +59,14 @@ def escape_html(text: Column) -> Column:
 def highlight(text: Column) -> Column:
     """text escaped for HTML, with hits in <span class="hl-q"> (quoted) or <span class="hl-v"> (words of visible text). Null: empty."""
     text = F.coalesce(text, F.lit(""))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
+    def step(at: Column, s: Column) -> tuple[Column, Column]:
+        gap = F.substring(text, at + 1, s["start"] - at)
         body = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-        return F.struct(s["end"].alias("at"), F.concat(acc["out"], escape_html(gap), F.lit('<span class="hl-'), s["kind"], F.lit('">'), escape_html(body), F.lit("</span>")).alias("out"))
+        return s["end"], F.concat(escape_html(gap), F.lit('<span class="hl-'), s["kind"], F.lit('">'), escape_html(body), F.lit("</span>"))
+
+    def shown(whole: Column) -> Column:
+        last = F.coalesce(F.try_element_at(whole, F.lit(-1))["end"], F.lit(0))
+        return F.concat(F.array_join(arrays.scan(whole, F.lit(0), step, "string"), ""), escape_html(F.substring(text, last + 1, F.length(text))))
 
-    whole = without_overlaps(F.concat(quoted_spans(text), word_spans(text)))
-    return F.aggregate(whole, start, step, lambda acc: F.concat(acc["out"], escape_html(F.substring(text, acc["at"] + 1, F.length(text)))))
+    return arrays.bound(without_overlaps(F.concat(quoted_spans(text), word_spans(text))), shown)
