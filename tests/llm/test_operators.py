@@ -297,7 +297,7 @@ def test_secrets(spark, small):
         line = base_line(t)
         assert found[i]["base_sha256"] == hashlib.sha256(line.encode()).hexdigest(), t
         assert set(filter(None, line.split(","))) <= set(found[i]["spans"].split(","))
-    assert found[8]["spans"] == f"base64:4:48,hex:54:94" and all(found[i]["spans"] == base_line(odd[i]) for i in (9, 10, 11))
+    assert found[8]["spans"] == "random_base64:4:48,random_hex:54:94" and all(found[i]["spans"] == base_line(odd[i]) for i in (9, 10, 11))
 
 
 def test_battery_tells_random_from_written(spark):
