@@ -99,3 +99,22 @@ def crop_rectangles(kept: DataFrame, width: Column, height: Column) -> DataFrame
     """kept with left, top, right, bottom in whole pixels, without those of which nothing is inside the image."""
     rect = geometry.crop_rectangle(F.struct("x1", "y1", "x2", "y2"), width, height)
     return kept.withColumn("__rect", rect).where("__rect is not null").select(*kept.columns, "__rect.*")
+
+
+def rectangles(images: DataFrame, score_thr: float = 0.3, iou_thr: float = 0.5, max_keep: int = 100, seed: int = 0) -> DataFrame:
+    """Images (shard, row, width, height, found ...) with kept, the boxes that stay (keep_pos, x1, y1, x2, y2, score), and rects (c, left, top, right, bottom, score) cut to the image.
+
+    As confident(), boxes(), suppressed(), capped() and crop_rectangles() have it, image by image in arrays: an image's boxes never meet others', so there is no shuffle.
+    """
+    strong = F.filter("found", lambda f: f["score"] >= score_thr)
+    boxed = F.filter(F.transform(strong, lambda f: F.struct(f["det"].alias("det"), f["q"].alias("q"), geometry.bounding_box(f["poly"]).alias("b"), f["score"].alias("score"))), lambda f: f["b"].isNotNull())
+    flat = lambda f: F.struct((-f["score"]).alias("place"), f["det"].alias("det"), f["q"].cast("long").alias("q"), *[f["b"][c].alias(c) for c in ("x1", "y1", "x2", "y2")], f["score"].alias("score"))
+    alone = geometry.suppress(F.sort_array(F.transform(boxed, flat)), KEPT, iou_thr)
+    draw = lambda b, i: F.md5(F.concat_ws(":", F.lit(str(seed)), "shard", F.col("row").cast("string"), i.cast("string")))
+    drawn = F.transform(alone, lambda b, i: F.struct((draw(b, i) if max_keep > 0 else F.lit("")).alias("draw"), i.alias("keep_pos"), *[b[c].alias(c) for c in ("x1", "y1", "x2", "y2", "score")]))
+    some = F.slice(F.sort_array(drawn), 1, max_keep) if max_keep > 0 else drawn
+    kept = F.sort_array(F.transform(some, lambda b: F.struct(*[b[c].alias(c) for c in ("keep_pos", "x1", "y1", "x2", "y2", "score")])))
+    cut = F.transform("kept", lambda b: F.struct(geometry.crop_rectangle(b, F.col("width"), F.col("height")).alias("r"), b["score"].alias("score")))
+    inside = F.filter(cut, lambda x: x["r"].isNotNull())
+    rects = F.transform(inside, lambda x, i: F.struct(i.alias("c"), *[x["r"][c].alias(c) for c in ("left", "top", "right", "bottom")], x["score"].alias("score")))
+    return images.withColumn("kept", kept).withColumn("rects", rects)

@@ -33,6 +33,13 @@ def manifest(rows: DataFrame) -> DataFrame:
     return rows.groupBy("shard").agg(F.count("*").alias("rows"), F.count_if(speaks_of_text(F.col("re_caption"))).alias("matched")).withColumns({"predicate": F.lit(PREDICATE), "made": F.current_timestamp()})
 
 
+def counted_manifest(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """As manifest(), where the index of rows is written already: rows are counted without any of their columns, and matches from the index, whose shards are its folders."""
+    matched = index.groupBy("shard").agg(F.count("*").alias("matched"))
+    counted = rows.groupBy("shard").agg(F.count("*").alias("rows")).join(matched, "shard", "left")
+    return counted.select("shard", "rows", F.coalesce("matched", F.lit(0)).cast("long").alias("matched"), F.lit(PREDICATE).alias("predicate"), F.current_timestamp().alias("made"))
+
+
 def latest(manifest: DataFrame) -> DataFrame:
     """The last entry of each shard."""
     return manifest.groupBy("shard").agg(*[F.max_by(c, "made").alias(c) for c in ("rows", "matched", "predicate")], F.max("made").alias("made"))

@@ -37,6 +37,7 @@ def first_by_name(rows: DataFrame, n: int, name: str = "name") -> DataFrame:
 
 def page(title: str, items: Iterable[Mapping[str, str]]) -> str:
     """A page of items with image (a path), heading, and body, which is HTML already."""
-    blocks = [f'<figure><img src="{html.escape(x["image"])}" loading="lazy"><figcaption><b>{html.escape(x["heading"])}</b><div>{x["body"]}</div></figcaption></figure>' for x in items]
+    shown = lambda x: f'<img src="{html.escape(x["image"])}" loading="lazy">' if x["image"] else ""
+    blocks = [f'<figure>{shown(x)}<figcaption><b>{html.escape(x["heading"])}</b><div>{x["body"]}</div></figcaption></figure>' for x in items]
     style = "figure{display:inline-block;width:22em;vertical-align:top}img{max-width:100%}.hl-q{background:#fd8}.hl-v{background:#8df}"
     return f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><style>{style}</style><h1>{html.escape(title)}</h1>{''.join(blocks)}"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from signmine.functions.naming import store_key
+from signmine.sources.files import cut
 
 
 def dense_numbers(rows: DataFrame, order: list[str], base: int = 0, name: str = "seq") -> DataFrame:
@@ -14,7 +15,7 @@ def dense_numbers(rows: DataFrame, order: list[str], base: int = 0, name: str =
     The rows are dealt into ranges of the order; ranges are counted, the counts of earlier ranges summed (a row for each partition), and each
     range numbered by itself. The range of a row is read off the partition it lies in, so rows with equal keys must not matter in their order: let the order be unique.
     """
-    dealt = rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()).persist()
+    dealt = cut(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))  # written, so that a range's rows and number can't part again
     counts = dealt.groupBy("__part").agg(F.count("*").alias("__n")).orderBy("__part").collect()  # one row for each partition
     offsets, total = {}, base
     for part, n in counts:

@@ -35,18 +35,20 @@ class Stop(Exception):
 def run(items: DataFrame, step: Callable[[DataFrame], DataFrame], store: CropStore, checkpoint: str, target: int = 0, zero_batches: int = 3) -> dict:
     """Sends items through step (which gives rows with shard, row, c) into the store, until the items end, the store holds `target` crops (0: no target), or
     `zero_batches` batches in a row give nothing. Numbers go on from what the store holds. What it did: {batches, crops, met, stopped}."""
-    seen = {"batches": 0, "crops": 0, "zeros": 0, "stopped": ""}
+    seen = {"batches": 0, "crops": 0, "zeros": 0, "stopped": "", "base": None}
 
     def write(batch: DataFrame, number: int) -> None:
         if seen["stopped"]:
             raise Stop(seen["stopped"])
-        base = store.size(before_batch=number)
+        if seen["base"] is None:  # footers of the earlier batches are read once in a run
+            seen["base"] = store.size(before_batch=number)
+        base = seen["base"]
         if target and base >= target:
             seen["stopped"] = "target"
             raise Stop("target")
         rows = with_keys(up_to(numbered(step(batch), ["shard", "row", "c"], base), target))
-        store.write(rows, number)
-        made = store.size(before_batch=number + 1) - base
+        made = store.write(rows, number)
+        seen["base"] = base + made
         seen["batches"] += 1
         seen["crops"] += made
         seen["zeros"] = 0 if made else seen["zeros"] + 1

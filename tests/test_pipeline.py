@@ -64,7 +64,7 @@ def test_only_needed_columns_are_read(spark, dataset):
 
 
 def test_both_steps_resume_and_count(spark, dataset, tmp_path):
-    config = lambda **x: pipeline.Config(dataset=dataset, out_root=str(tmp_path), max_shards=0, target=0, **x)
+    config = lambda **x: pipeline.Config(dataset=dataset, out_root=str(tmp_path), max_shards=0, target=0, save_preview_images=True, **x)
     out = pipeline.run(spark, config(), fake_fetcher, FakeCodec(), fake_detectors)
     first = out["runs"][0]["steps"]
     assert first["filter"]["shards"] == 4 and first["filter"]["matched"] == 100 and first["filter"]["rows"] == 200
@@ -76,7 +76,7 @@ def test_both_steps_resume_and_count(spark, dataset, tmp_path):
     assert again["runs"][1]["steps"]["filter"]["shards_cached"] == 4 and again["runs"][1]["steps"]["crop"]["crops"] == 0 and store.read().count() == len(rows)
     assert again["total_runs"] == 2 and json.loads(Path(tmp_path, "SUMMARY.json").read_text())["cumulative"]["filter"]["rows"] == 400
     assert pipeline.write_filter_preview(spark, config().resolved(), lambda url: b"1,1") == 10 and "hl-" in Path(tmp_path, "filter_preview.html").read_text()
-    assert sorted(pipeline.fresh_start(config().resolved())) == ["_progress", "crops", "filter_preview", "filter_preview.html", "index", "manifest"]
+    assert sorted(pipeline.fresh_start(spark, config().resolved())) == ["_progress", "crops", "crops_preview", "crops_preview.html", "filter_preview", "filter_preview.html", "index", "manifest"]
 
 
 def test_target_is_met_exactly_and_once(spark, dataset, tmp_path):
