@@ -2,58 +2,21 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signmine.sources.files import cut, drop, shared_dir
+
+__all__ = ["WORD", "components", "cut", "drop", "id_text", "shared_dir", "table"]
+
 #: A word, as the contracts have it: a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_written: list[tuple[SparkSession, str]] = []
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests), a folder of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="signmine-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df, written as Parquet in the shared folder and read again: its lineage ends there, and a lost executor costs no more than one read.
-
-    The files are deleted when the driver's Python ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/signmine-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-@atexit.register
-def clean() -> None:
-    """Deletes what cut() has written, if the session is still there."""
-    while _written:
-        with contextlib.suppress(Exception):  # the session may have ended
-            _delete(*_written.pop())
-
-
 def id_text(doc_id: str) -> Column:
     return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
 
@@ -66,7 +29,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a, b), of any one orderable type: a row (node, root) for each node that has an edge to another node; root is the component's least node.
 
     Alternates the large-star and small-star steps, which end in O(log n) rounds. Each takes aggregates and equi-joins only, and each
-    round's edges are written to the shared folder. A node with very many neighbours meets them in the join on its one minimum,
+    round's edges are written to the shared folder, and those before deleted. A node with very many neighbours meets them in the join on its one minimum,
     whose large partitions adaptive execution splits. Null ends and loops are left out.
     """
     edges = cut(
@@ -82,7 +45,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = joined.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
-        edges = cut(small)
+        before, edges = edges, cut(small)
+        drop(before)  # a round's edges are there as long as the next are made
         new = _summary(edges)
         if new == state:
             break

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from signmine.llm.common import cut
+
 #: One line in so many ends a chunk, on average.
 DIVISOR = 3
 #: Lines whose hashes the rolling hash spans.
@@ -46,47 +49,64 @@ def chunks(text: Column, divisor: int = DIVISOR, window: int = WINDOW) -> Column
     return F.when(text.isNotNull(), F.get(F.transform(with_ends, cut), 0))
 
 
+def _place(at: str) -> Column:
+    """Where a chunk or a run stands, in order of documents (those without an id last, by their text) and of places in them."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.when(F.col("doc_id").isNull(), F.col("t")).alias("t"), at)
+
+
 def repeated(docs: DataFrame, least_lines: int = 2, divisor: int = DIVISOR, window: int = WINDOW) -> DataFrame:
-    """Chunks of least_lines or more lines that stand in more than one place: key, n (their number), first_doc, first_chunk.
+    """Chunks of least_lines or more lines that stand in more than one place: key, n (their number), first (the place).
 
     Grouping by the body itself is the byte comparison. Should two bodies share an md5, neither is removed.
     """
     found = (
-        docs.select("doc_id", F.explode(chunks(F.col("text"), divisor, window)).alias("c"))
+        docs.select("doc_id", F.xxhash64("text").alias("t"), F.explode(chunks(F.col("text"), divisor, window)).alias("c"))
         .where(F.col("c.n_lines") >= least_lines)
-        .select("doc_id", "c.chunk", F.col("c.body").alias("body"))
+        .select("doc_id", "t", "c.chunk", F.col("c.body").alias("body"))
     )
-    bodies = found.groupBy("body").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "chunk")).alias("first"))
+    bodies = found.groupBy("body").agg(F.count("*").alias("n"), F.min(_place("chunk")).alias("first"))
     keys = bodies.select(F.md5("body").alias("key"), "n", "first").groupBy("key").agg(F.count("*").alias("bodies"), F.sum("n").alias("n"), F.min("first").alias("first"))
-    return keys.where("bodies = 1 and n > 1").select("key", "n", F.col("first.doc_id").alias("first_doc"), F.col("first.chunk").alias("first_chunk"))
+    return keys.where("bodies = 1 and n > 1").select("key", "n", "first")
+
+
+def _apply(docs: DataFrame, gone: DataFrame, stays: Column) -> DataFrame:
+    """docs with the text that `stays`, of column text and __gone, leaves of those that gone (doc_id, t, some, all) names. Rows of an id lose what is in some; of rows without one and with the same text, one does, and the others what is in all."""
+
+    def renewed(joined: DataFrame) -> DataFrame:
+        rest = F.when(F.col("__gone").isNull() | (F.size("__gone") == 0), F.col("text")).otherwise(stays)
+        new = {"text": F.col("__rest"), "n_chars": F.length("__rest").cast("long")}
+        return joined.withColumn("__rest", F.when(F.col("text").isNotNull(), rest)).select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+
+    gone = gone.select(F.col("doc_id").alias("__doc"), F.col("t").alias("__t"), F.col("some").alias("__some"), F.col("all").alias("__all"))
+    with_id = docs.where("doc_id is not null").withColumn("__hash", F.xxhash64("text"))
+    with_id = with_id.join(gone.where("__doc is not null"), (F.col("doc_id") == F.col("__doc")) & (F.col("__hash") == F.col("__t")), "left").withColumn("__gone", F.col("__some"))
+    # Few as a rule, and none read where a file's statistics say so. The window numbers rows of the same text.
+    without = docs.where("doc_id is null").withColumn("__hash", F.xxhash64("text"))
+    without = without.withColumn("__no", F.row_number().over(Window.partitionBy("__hash").orderBy("__hash")))
+    without = without.join(gone.where("__doc is null"), F.col("__hash") == F.col("__t"), "left").withColumn("__gone", F.when(F.col("__no") == 1, F.col("__some")).otherwise(F.col("__all")))
+    return renewed(with_id).unionByName(renewed(without))
 
 
 def dedup_lines(docs: DataFrame, least_lines: int = 2, divisor: int = DIVISOR, window: int = WINDOW) -> DataFrame:
     """docs with repeated multi-line chunks removed from `text` and, if docs has it, `n_chars` renewed; other columns stay.
 
     A chunk stays where doc_id (null last) and then its place are the least, and goes everywhere else. What is left is joined by \\n.
-    Rows of one doc_id are one document: a row repeated with its doc_id keeps what the first keeps. Null text stays null, and a text
-    whose chunks all go becomes empty. Single-line chunks stay. An empty table gives no rows.
+    Rows of one doc_id are one document: a row repeated with its doc_id keeps what the first keeps. Each row without a doc_id is a document of its own, and of several with
+    the same text one comes first. Null text stays null, and a text whose chunks all go becomes empty. Single-line chunks stay. An empty table gives no rows.
     """
     ours = docs.select("doc_id", "text")
-    again = repeated(ours, least_lines, divisor, window)
+    # Written, so that the join below has an exchange of its own, whose large partitions adaptive execution splits: a chunk may stand in very many documents.
+    again = cut(repeated(ours, least_lines, divisor, window))
     places = (
-        ours.select("doc_id", F.explode(chunks(F.col("text"), divisor, window)).alias("c"))
+        ours.select("doc_id", F.xxhash64("text").alias("t"), F.explode(chunks(F.col("text"), divisor, window)).alias("c"))
         .where(F.col("c.n_lines") >= least_lines)
-        .select(F.col("doc_id").alias("__doc"), F.col("c.chunk").alias("__chunk"), F.md5("c.body").alias("key"))
+        .select("doc_id", "t", "c.chunk", F.md5("c.body").alias("key"))
     )
-    gone = (
-        places.join(again, "key")
-        .where(~(F.col("__doc").eqNullSafe(F.col("first_doc")) & (F.col("__chunk") == F.col("first_chunk"))))
-        .groupBy("__doc")
-        .agg(F.collect_set(F.struct(F.col("__chunk").alias("chunk"), "key")).alias("__gone"))
-    )
-    stays = F.filter(chunks(F.col("text"), divisor, window), lambda c: (c["n_lines"] < least_lines) | ~F.array_contains("__gone", F.struct(c["chunk"].alias("chunk"), F.md5(c["body"]).alias("key"))))
-    rest = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stays, lambda c: c["body"]), "\n"))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__doc"]), "left")
-    out = joined.withColumn("__rest", F.when(F.col("text").isNotNull(), rest))
-    new = {"text": F.col("__rest"), "n_chars": F.length("__rest").cast("long")}
-    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    one = F.struct("chunk", "key")
+    gone = places.join(again, "key").withColumn("later", ~_place("chunk").eqNullSafe(F.col("first")))
+    gone = gone.where(F.col("later") | F.col("doc_id").isNull()).groupBy("doc_id", "t").agg(F.collect_set(F.when(F.col("later"), one)).alias("some"), F.collect_set(F.when(F.col("doc_id").isNull(), one)).alias("all"))
+    left = F.filter(chunks(F.col("text"), divisor, window), lambda c: (c["n_lines"] < least_lines) | ~F.array_contains("__gone", F.struct(c["chunk"].alias("chunk"), F.md5(c["body"]).alias("key"))))
+    return _apply(docs, gone, F.array_join(F.transform(left, lambda c: c["body"]), "\n"))
 
 
 def dedup_blocks(docs: DataFrame, least_lines: int = 2) -> DataFrame:
@@ -104,17 +124,9 @@ def dedup_blocks(docs: DataFrame, least_lines: int = 2) -> DataFrame:
     # array(...) of one binds the lines, so that they are split once.
     runs = F.flatten(F.transform(F.array(lines), lambda x: F.transform(places, lambda i: run(x, i))))
     found = docs.select("doc_id", F.xxhash64("text").alias("t"), F.explode(runs).alias("r")).select("doc_id", "t", "r.*")
-    first = found.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "at")).alias("first")).where("n > 1")
-    gone = (
-        found.join(first, "key")
-        .where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("at") == F.col("first.at"))))
-        .groupBy(F.col("doc_id").alias("__doc"), F.col("t").alias("__t"))
-        .agg(F.collect_set("at").alias("__gone"))
-    )
+    first = cut(found.groupBy("key").agg(F.count("*").alias("n"), F.min(_place("at")).alias("first")).where("n > 1").select("key", "first"))  # written as in dedup_lines()
+    gone = found.join(first, "key").withColumn("later", ~_place("at").eqNullSafe(F.col("first")))
+    gone = gone.where(F.col("later") | F.col("doc_id").isNull()).groupBy("doc_id", "t").agg(F.collect_set(F.when(F.col("later"), F.col("at"))).alias("some"), F.collect_set(F.when(F.col("doc_id").isNull(), F.col("at"))).alias("all"))
     out = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(least_lines - 1)), lambda k: F.transform("__gone", lambda i: i + k)))
     stays = F.array_except(F.sequence(F.lit(0), n - 1), out)
-    rest = F.get(F.transform(F.array(lines), lambda x: F.array_join(F.transform(stays, lambda i: F.get(x, i)), "\n")), 0)
-    joined = docs.withColumn("__hash", F.xxhash64("text")).join(gone, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__t")), "left")
-    renewed = joined.withColumn("__rest", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(rest))
-    new = {"text": F.col("__rest"), "n_chars": F.length("__rest").cast("long")}
-    return renewed.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    return _apply(docs, gone, F.get(F.transform(F.array(lines), lambda x: F.array_join(F.transform(stays, lambda i: F.get(x, i)), "\n")), 0))
