@@ -24,6 +24,8 @@ CUT_WORDS = 21
 ANCHOR_WINDOW = 30
 #: Recall at SIMILARITY that the bands must reach, and hashes they may take.
 RECALL, MOST_HASHES = 0.995, 48
+#: A bucket with more paragraphs is dealt out by their sizes.
+HOT_BUCKET = 4096
 #: Words that are hashed at a time, and shingles whose MinHashes are computed at a time.
 WORDS_BLOCK, BANDS_BLOCK = 1 << 15, 1 << 10
 
@@ -145,11 +147,11 @@ def _paragraphs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             shingles = _shingles(words)
             long = np.flatnonzero(np.diff(lines) >= LEAST_WORDS)
             first, last = lines[long], lines[long + 1]
-            bands = bands_of(shingles, first, last - SHINGLE + 1).astype(np.int32)
+            bands = bands_of(shingles, first, last - SHINGLE + 1)
             for a, b, keys in zip(first.tolist(), last.tolist(), bands, strict=True):
                 whole = xxhash.xxh3_128_digest(words[a:b].tobytes())
-                distinct = np.unique(shingles[a : b - SHINGLE + 1])
-                rows.append((doc_id, a, b - a, *np.frombuffer(whole, np.int64).tolist(), keys.tobytes(), distinct.astype(np.uint32).tobytes(), None))
+                distinct = np.unique(shingles[a : b - SHINGLE + 1].astype(np.uint32))
+                rows.append((doc_id, a, b - a, *np.frombuffer(whole, np.int64).tolist(), keys.tobytes(), distinct.tobytes(), None))
             starts, one, two = passages(words, shingles)
             if len(starts):
                 cuts = np.empty(len(starts), [("at", "<i4"), ("one", "<i8"), ("two", "<i4")])
@@ -177,22 +179,8 @@ def _cuts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _explode_bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         if len(batch):
-            keys = np.stack([np.frombuffer(x, np.int32) for x in batch["bands"]])
-            yield pd.DataFrame({"node": np.repeat(batch["node"].to_numpy(), BANDS), "band": np.tile(np.arange(BANDS, dtype=np.int32), len(batch)), "key": keys.ravel()})
-
-
-class _Sets:
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        while (parent := self.up.setdefault(x, x)) != x:
-            self.up[x] = x = self.up[parent]
-        return x
-
-    def join(self, a: int, b: int) -> None:
-        a, b = self.root(a), self.root(b)
-        self.up[max(a, b)] = min(a, b)
+            keys = np.concatenate([np.frombuffer(x, np.int64) for x in batch["bands"]])  # the band's number is mixed into its key
+            yield pd.DataFrame({"node": np.repeat(batch["node"].to_numpy(), BANDS), "key": keys})
 
 
 def _similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -203,42 +191,59 @@ def _similar(a: np.ndarray, b: np.ndarray) -> bool:
     return both >= SIMILARITY * (len(a) + len(b) - both)
 
 
-def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links among rows that come sorted by (band, key): of each bucket, exact similarity of its pairs, but for pairs that are already joined through others.
+class _Bucket:
+    """Paragraphs of one bucket in clusters. A new one is compared with a cluster's members until one is similar, the newest first, and then with those of the clusters that it isn't in yet."""
 
-    Rows stream through: a bucket's paragraphs are held as long as it lasts, a row of each cluster of it standing first in what a new row is compared with.
-    """
-    key, members, sets = None, [], _Sets()
+    def __init__(self):
+        self.clusters: list[list[tuple[int, np.ndarray]]] = []
+        self.same: dict[bytes, int] = {}
+
+    def add(self, node: int, shingles: bytes) -> list[tuple[int, int]]:
+        """Links that join it to the clusters it belongs to. One with the same shingles as another needs no more than a link to that."""
+        if (other := self.same.setdefault(shingles, node)) != node:
+            return [(node, other)]
+        mine, links, apart, own = np.frombuffer(shingles, np.uint32), [], [], []
+        for cluster in self.clusters:
+            found = next((other for other, theirs in reversed(cluster) if _similar(mine, theirs)), None)
+            if found is None:
+                apart.append(cluster)
+                continue
+            links.append((node, found))
+            own, cluster = (own, cluster) if len(own) > len(cluster) else (cluster, own)
+            own += cluster
+        own.append((node, mine))
+        self.clusters = [*apart, own]
+        return links
+
+
+def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links among rows that come sorted by (key, part): of each bucket, exact similarity of its pairs, but for pairs that are already joined through others. A bucket's paragraphs are held as long as it lasts."""
+    now, bucket = None, _Bucket()
     for batch in batches:
         links = []
-        for band, value, node, shingles in zip(batch["band"], batch["key"], batch["node"], batch["shingles"], strict=True):
-            if key != (band, value):
-                key, members, sets = (band, value), [], _Sets()
-            mine = np.frombuffer(shingles, np.uint32)
-            sets.root(node)
-            # The newest first: near copies mostly match at once, and then their whole cluster is passed over.
-            for other, theirs in reversed(members):
-                if sets.root(other) != sets.root(node) and _similar(mine, theirs):
-                    sets.join(other, node)
-                    links.append((node, other))
-            members.append((node, mine))
+        for key, part, node, shingles in zip(batch["key"], batch["part"], batch["node"], batch["shingles"], strict=True):
+            if now != (key, part):
+                now, bucket = (key, part), _Bucket()
+            links += bucket.add(node, bytes(shingles))
         yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def near_paragraphs(paragraphs: DataFrame, lines: DataFrame) -> DataFrame:
+def near_paragraphs(paragraphs: DataFrame, lines: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
     """Links (a, b) between different paragraphs of SIMILARITY or more, as many as join their components.
 
     paragraphs has (node, doc_id, at, bands), a node once with one place where it stands; lines has (h1, doc_id, at, shingles).
-    Only paragraphs that share a bucket with another get their shingles and are compared.
+    Only paragraphs that share a bucket with another get their shingles and are compared. A bucket of more than `hot` is dealt out by size: each paragraph goes to its own class of sizes
+    and to the next, and sizes of similar ones are no more than a class apart.
     """
-    keys = paragraphs.select("node", "bands").mapInPandas(_explode_bands, "node long, band int, key int")
-    bucket = Window.partitionBy("band", "key")
-    shared = cut(keys.withColumns({"least": F.min("node").over(bucket), "most": F.max("node").over(bucket)}).where("least < most").select("band", "key", "node"))
+    keys = paragraphs.select("node", "bands").mapInPandas(_explode_bands, "node long, key long")
+    bucket = Window.partitionBy("key")
+    shared = cut(keys.withColumns({"least": F.min("node").over(bucket), "most": F.max("node").over(bucket), "n": F.count("*").over(bucket)}).where("least < most").select("key", "node", (F.col("n") > hot).alias("hot")))
     places = paragraphs.join(shared.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("__doc"), F.col("at").alias("__at"))
     held = lines.join(places, (F.col("h1") == F.col("node")) & (F.col("doc_id") == F.col("__doc")) & (F.col("at") == F.col("__at"))).select("node", "shingles")
     # Several rows of one doc_id may hold a place each, with the same shingles: links of a node to itself do no harm.
-    rows = shared.join(held, "node").select("band", "key", "node", "shingles")
-    rows = rows.repartition("band", "key").sortWithinPartitions("band", "key", "node")
+    size = F.floor(F.log(F.octet_length("shingles") / 4) / F.log(F.lit(1 / SIMILARITY)) + 1e-9).cast("int")
+    rows = shared.join(held, "node").select("key", F.explode(F.when(F.col("hot"), F.array(size, size + 1)).otherwise(F.array(F.lit(-1)))).alias("part"), "node", "shingles")
+    rows = rows.repartition("key", "part").sortWithinPartitions("key", "part", "node")
     return rows.mapInPandas(_verify, "a long, b long")
 
 
@@ -251,10 +256,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     which one at least lies in every run of 50 words that two documents share. Words are parted by white space and lower-cased.
     class_id is the least doc_id of the class, start_word the place of the passage's first word in its document. keep is true for the class's documents of that
     id alone: what the others repeat can be removed. Rows of one doc_id are one document; classes that one document has to itself are left out.
-    Texts and shingles are compared by hashes of 128 and 32 bits, a paragraph is named by 64 bits, and a cut by 96.
+    Texts and shingles are compared by hashes of 128 and 32 bits, a paragraph and a band's bucket are named by 64 bits, and a cut by 96.
     Null and empty texts and null doc_ids take no part. An empty table gives no rows; other columns play no part.
     """
-    schema = "doc_id long, at int, n_words int, h1 long, h2 long, bands binary, shingles binary, cuts binary"
+    doc_id = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {doc_id}, at int, n_words int, h1 long, h2 long, bands binary, shingles binary, cuts binary"
     units = cut(docs.select("doc_id", "text").where("doc_id is not null and text is not null and text <> ''").mapInPandas(_paragraphs, schema))
 
     lines = units.where("cuts is null")
@@ -266,7 +272,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     names = classed.join(of.select("root", "class_id"), "root").select("h1", "h2", "class_id")
     whole = lines.select("doc_id", "at", "n_words", "h1", "h2").join(names, ["h1", "h2"]).select("doc_id", F.lit("paragraph").alias("kind"), F.col("at").alias("start_word"), "n_words", "class_id")
 
-    cuts = units.where("cuts is not null").select("doc_id", "cuts").mapInPandas(_cuts, "doc_id long, at int, h1 long, h2 int")
+    cuts = units.where("cuts is not null").select("doc_id", "cuts").mapInPandas(_cuts, f"doc_id {doc_id}, at int, h1 long, h2 int")
     # Written, so that the join below has an exchange of its own, whose large partitions adaptive execution splits: a passage may stand in very many documents.
     several = cut(cuts.groupBy("h1").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1"))
     again = cut(cuts.join(several, "h1", "left_semi"))  # few: all that follows is over these
