@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signmine.llm.common import id_text
@@ -16,6 +16,10 @@ from signmine.llm.common import id_text
 BUCKETS = 1 << 16
 #: Documents of each language that the weights are fitted on, at most, on average (drawn by hash). Document frequencies are counted over all that may be learnt from.
 SAMPLE = 700
+#: A fifth of the sample is kept from the weights for the temperature: of each text of it, SNIPPETS runs of at most SNIPPET_WORDS words. Whole texts leave no doubt of their language, so they can't tell how far doubt is right.
+SNIPPETS, SNIPPET_WORDS = 4, 3
+#: The temperature is searched within a factor of this.
+WIDEST = 1e4
 UNKNOWN = "und"
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -48,11 +52,22 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
         found.append((mixed * _FACTORS[0] >> _SHIFT).astype(np.int64))
         if len(rolled) < 2:
             break
-    counts = np.bincount(np.concatenate(found), minlength=BUCKETS)
+    flat = np.concatenate(found)
+    if len(flat) < BUCKETS // 4:
+        at, counts = np.unique(flat, return_counts=True)
+        return at, 1 + np.log(counts)
+    counts = np.bincount(flat, minlength=BUCKETS)
     at = np.flatnonzero(counts)
     return at, 1 + np.log(counts[at])
 
 
+def snippets(text: str, key: int) -> list[str]:
+    """Runs of one to SNIPPET_WORDS of the text's words, drawn by key."""
+    words, draw = text.split(), np.random.default_rng(key & (1 << 63) - 1)
+    starts, sizes = draw.integers(0, max(1, len(words)), SNIPPETS), draw.integers(1, SNIPPET_WORDS + 1, SNIPPETS)
+    return [" ".join(words[a : a + n]) for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+
+
 @dataclass
 class Model:
     langs: list[str]
@@ -110,17 +125,21 @@ def _ftrl(model: Model, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.nd
     model.weights, model.bias = everything[:-1], everything[-1]
 
 
-def _temperature(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The temperature of least log loss on rows that the weights weren't fitted on; a golden-section search over its logarithm."""
-    if not len(labels):
-        return 1.0
+def log_loss(logits: np.ndarray, labels: np.ndarray, temperature: float = 1.0) -> float:
+    p = _softmax(logits / temperature)
+    return float(-np.log(np.maximum(p[np.arange(len(labels)), labels], 1e-300)).mean())
 
-    def loss(log_t: float) -> float:
-        p = _softmax(logits / np.exp(log_t))
-        return -np.log(np.maximum(p[np.arange(len(labels)), labels], 1e-12)).mean()
 
-    a, b, ratio = np.log(0.05), np.log(20.0), (np.sqrt(5) - 1) / 2
-    for _ in range(40):
+def _temperature(logits: np.ndarray, labels: np.ndarray) -> float:
+    """The temperature of least log loss on rows that the weights weren't fitted on, by golden-section search over its logarithm.
+
+    The loss is convex in 1 / temperature. Where all rows are right the least lies at the end of the search, and where there are none, 1 is as good as any: then nothing is calibrated.
+    """
+    if not len(labels) or (logits.argmax(axis=1) == labels).all():
+        return 1.0
+    loss = lambda log_t: log_loss(logits, labels, np.exp(log_t))
+    a, b, ratio = -np.log(WIDEST), np.log(WIDEST), (np.sqrt(5) - 1) / 2
+    for _ in range(60):
         c, d = b - ratio * (b - a), a + ratio * (b - a)
         a, b = (a, d) if loss(c) < loss(d) else (c, b)
     return float(np.exp((a + b) / 2))
@@ -137,16 +156,22 @@ def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(key, lang, apart, buckets, tf): of a text for the weights its own features, of one that is kept apart those of its snippets."""
     for batch in batches:
-        found = [(lang, features(text)) for lang, text in zip(batch["lang"], batch["text"], strict=True)]
-        found = [(lang, x) for lang, x in found if x is not None]
-        if found:  # Arrow makes no plain array of an empty binary column
-            yield pd.DataFrame({"lang": [lang for lang, _ in found], "buckets": [x[0].astype(np.int32).tobytes() for _, x in found], "tf": [x[1].astype(np.float32).tobytes() for _, x in found]})
+        rows = []
+        for key, lang, text in zip(batch["key"], batch["lang"], batch["text"], strict=True):
+            apart = key % 5 == 0
+            for part in snippets(text, key) if apart else [text]:
+                if (found := features(part)) is not None:
+                    rows.append((key, lang, apart, found[0].astype(np.int32).tobytes(), found[1].astype(np.float32).tobytes()))
+        if rows:  # Arrow makes no plain array of an empty binary column
+            yield pd.DataFrame(rows, columns=["key", "lang", "apart", "buckets", "tf"])
 
 
 def train(labelled: DataFrame, sample: int = SAMPLE, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.05, l2: float = 0.1) -> Model:
-    """A model of (text, lang). Document frequencies come from all rows with both; weights and temperature from about `sample` rows of each
-    language, drawn by hash, a fifth of them for the temperature alone. No such rows: a model without languages, which answers "und"."""
+    """A model of (text, lang). Document frequencies come from all rows with both; weights and temperature from about `sample` different texts of each language at most,
+    drawn by a hash of the text and taken in its order, a fifth of them for the temperature alone: the same rows give the same model, however they are dealt out, and copies of a text count once.
+    No such rows: a model without languages, which answers "und"."""
     rows = labelled.select("text", "lang").where("text is not null and lang is not null")
     sizes = {row["lang"]: row["n"] for row in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(sizes)
@@ -160,16 +185,20 @@ def train(labelled: DataFrame, sample: int = SAMPLE, epochs: int = 3, alpha: flo
     share = F.lit(0.0)
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / n))).otherwise(share)
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20)
-    drawn = rows.where(draw).mapInPandas(_rows, "lang string, buckets binary, tf binary").limit(3 * sample * len(langs)).toPandas()
+    key = F.xxhash64("text")
+    draw = F.pmod(key, F.lit(1 << 20)) < share * (1 << 20)
+    # What is drawn is small; copies of one text are counted together, and no language has more than twice its share.
+    drawn = rows.where(draw).groupBy("lang", "text").agg(F.min(key).alias("key"))
+    drawn = drawn.withColumn("no", F.row_number().over(Window.partitionBy("lang").orderBy("key", "text"))).where(F.col("no") <= 2 * sample)
+    drawn = drawn.select("key", "lang", "text").mapInPandas(_rows, "key long, lang string, apart boolean, buckets binary, tf binary").toPandas()
+    drawn = drawn.sort_values(["key", "lang", "buckets"], kind="stable")
     found = [model.vector((np.frombuffer(a, np.int32).astype(np.int64), np.frombuffer(b, np.float32).astype(float))) for a, b in zip(drawn["buckets"], drawn["tf"], strict=True)]
-    labels = np.array([langs.index(x) for x in drawn["lang"]], int)
-    apart = np.random.default_rng(5).random(len(found)) < 0.2
-    if (~apart).sum() < len(langs):
+    labels, apart = np.array([langs.index(x) for x in drawn["lang"]], int), drawn["apart"].to_numpy(bool)
+    if len(set(labels[~apart].tolist())) < len(langs):  # hardly any rows
         apart[:] = False
     _ftrl(model, [x for x, a in zip(found, apart, strict=True) if not a], labels[~apart], epochs, alpha, beta, l1, l2)
     held = [x @ model.weights[at] + model.bias for (at, x), a in zip(found, apart, strict=True) if a]
-    model.temperature = _temperature(np.array(held), labels[apart])
+    model.temperature = _temperature(np.array(held).reshape(-1, len(langs)), labels[apart])
     model.weights = model.weights.astype(np.float32)
     return model
 
@@ -188,7 +217,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """A row for each row of docs: doc_id, held_out, lang_pred, score (0 to 1, the calibrated probability).
+    """A row for each row of docs: doc_id, held_out, lang_pred, score (0 to 1, the probability, calibrated on short texts).
 
     Learns from text and lang of the rows that aren't held out; predictions see the whole text and nothing else. Null text, empty text and
     text without a letter: lang_pred "und", score 0. Without any labelled row every prediction is that. Null lang: not learnt from. Repeated rows count each;
