@@ -103,19 +103,25 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, epochs: int = 12, rate: floa
 def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         if len(batch):  # Arrow makes no plain array of an empty binary column
-            yield pd.DataFrame({"grade": batch["grade"].astype("int32"), "buckets": [features(x if isinstance(x, str) else None).astype(np.int32).tobytes() for x in batch["text"]]})
+            yield pd.DataFrame({"key": batch["key"], "grade": batch["grade"].astype("int32"), "buckets": [features(x if isinstance(x, str) else None).astype(np.int32).tobytes() for x in batch["text"]]})
 
 
 def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model:
-    """From docs (doc_id, text) and ratings (doc_id, grade 0 to 2, one row for each doc_id): about `sample` of them, drawn by hash of doc_id."""
+    """From docs (doc_id, text) and ratings (doc_id, grade 0 to 2, one row for each doc_id): about `sample` of them, drawn by hash of doc_id and taken in its order.
+
+    Of several rows of one doc_id the one whose text has the least hash counts, null last: the same rows give the same model, however they are dealt out.
+    """
     total = ratings.count()
     if not total:
         return Model()
-    drawn = ratings.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < (1 << 20) * min(1.0, sample / total)).limit(2 * sample)
+    key = F.xxhash64("doc_id")
+    drawn = ratings.where(F.pmod(key, F.lit(1 << 20)) < (1 << 20) * min(1.0, sample / total)).orderBy(key, "doc_id").limit(2 * sample)
     # The drawn ratings number 2 * sample at most: a broadcast of proven size.
-    found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("grade", "text").mapInPandas(_rows, "grade int, buckets binary").limit(4 * sample).toPandas()
-    rows = [np.frombuffer(b, np.int32).astype(np.int64) for b in found["buckets"]]
-    return fit(rows, found["grade"].to_numpy(int))
+    found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    one = found.groupBy("doc_id").agg(F.first("grade").alias("grade"), F.min(F.struct(F.col("text").isNull().alias("none"), F.xxhash64("text").alias("h"), "text")).alias("x"))
+    rows = one.select(F.xxhash64("doc_id").alias("key"), "grade", "x.text").mapInPandas(_rows, "key long, grade int, buckets binary").toPandas()
+    rows = rows.sort_values(["key", "grade", "buckets"], kind="stable")
+    return fit([np.frombuffer(b, np.int32).astype(np.int64) for b in rows["buckets"]], rows["grade"].to_numpy(int))
 
 
 def tails_udf(model: Model):
