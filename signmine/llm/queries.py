@@ -10,43 +10,53 @@ from signmine.llm.common import table
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1 over all documents: expected grade, tail chances and selection of each, learnt from the rated ones."""
     return quality.classify(table(spark, sf_dir, "documents"), quality.grade(table(spark, sf_dir, "labels")))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2 over all documents: doc_id, text without repeated chunks, n_chars."""
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"))
 
 
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3: the ten best inner products of each vector whose id is divisible by 100, against all rows but its own."""
     vectors = topk.quantized(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, vectors.where(F.pmod("vec_id", F.lit(100)) == 0))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4: leaks of any benchmark item in any document."""
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5 over all documents: counts and digest of the fixed spans, and all spans."""
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6 over all documents: how many words the mix takes of each, and when."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7 over all documents: paragraphs and passages that stand in more than one."""
     return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8 over all pages: main text and its length."""
     return html.main_text(table(spark, sf_dir, "pages"))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9 over all documents: predicted language and its probability, learnt from those that are not held out."""
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10 over all documents: fingerprint and component of each."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
