@@ -49,6 +49,17 @@ def by_row_group(index: DataFrame, size: int) -> DataFrame:
     return index.groupBy("shard", F.floor(F.col("row") / size).cast("long").alias("row_group")).agg(F.min("row").alias("first"), F.max("row").alias("last"), F.count("*").alias("hits"))
 
 
+def in_row_groups(index: DataFrame, groups: DataFrame) -> DataFrame:
+    """As by_row_group(), for groups (shard, row_group, start) of any sizes, as files have them: (shard, row_group, first, last, hits).
+
+    A shard's starts are one sorted array, as many as its file has row groups; a row's group is the last that starts at or before it. So the range join is an equi-join on the shard.
+    """
+    starts = groups.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("start", "row_group"))).alias("__groups"))
+    place = F.size(F.filter("__groups", lambda s: s["start"] <= F.col("row"))) - 1
+    found = index.join(starts, "shard").withColumn("row_group", F.get("__groups", place)["row_group"]).where("row_group is not null")
+    return found.groupBy("shard", "row_group").agg(F.min("row").alias("first"), F.max("row").alias("last"), F.count("*").alias("hits"))
+
+
 def progress_of(rows: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """(shard, max_row): the highest row by shard, with what was known before."""
     new = rows.groupBy("shard").agg(F.max("row").alias("max_row"))

@@ -10,7 +10,11 @@ from signmine.functions import geometry, naming, planning
 from signmine.functions.captions import VISIBLE_TEXT_WORDS
 from signmine.operators import detections as det
 from signmine.operators import index, metas, preview, sequence, stats
+from signmine.plans import pipeline
+from signmine.sources import captions, files
 from signmine.sources.captions import captions_from_parts
+from signmine.sources.sinks import CropStore
+from signmine.streaming import resume
 
 QUERIES, ORACLES = {}, {}
 
@@ -148,9 +152,7 @@ def shards_without_index(spark, sf_dir):
 
 @query(f"with {_CAPTIONS} select shard, row from captions where shard in (select distinct shard from captions order by shard limit 2)")
 def shard_limit(spark, sf_dir):
-    from signmine.sources.captions import first_shards
-
-    return first_shards(_captions(spark, sf_dir), 2).select("shard", "row")
+    return captions.first_shards(_captions(spark, sf_dir), 2).select("shard", "row")
 
 
 @query(f"""with {_CAPTIONS} select shard, row, len(regexp_extract_all(re_caption, '["“][^"“”\\n]+["”]')) + (p > 0)::int as hits from (select *, (position(chr(39) || ' on a wall' in re_caption) > 0)::int as p from captions)""")
@@ -164,7 +166,26 @@ def word_hits(spark, sf_dir):
     return _captions(spark, sf_dir).select("shard", "row", F.get(found, 0)["start"].alias("start")).where("start is not null")
 
 
-@query()
+_ESC = "replace(replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#x27;')"
+_OUT = r"[^\p{L}\p{N}_]"
+_DOUBLE, _SINGLE, _WORD = r"""["“][^"“”\n]+["”]""", rf"(^|{_OUT})([''‘][^''‘’\n]+[''’])($|{_OUT})", rf"(?i)(^|{_OUT})({_WORDS})($|{_OUT})"
+
+
+# From left to right: the next hit of each kind in what is left, and of those the first. A kind with a word border about it is found with that border.
+@query(f"""with recursive {_CAPTIONS}, walk as (
+  select shard, row, coalesce(re_caption, '') as rest, '' as out, false as done from captions
+  union all
+  select shard, row, case when spot is null then '' else substr(rest, spot + length(hit)) end,
+    out || case when spot is null then {_ESC.format("rest")} else {_ESC.format("substr(rest, 1, spot - 1)")} || '<span class="hl-' || kind || '">' || {_ESC.format("hit")} || '</span>' end, spot is null
+  from (
+    select shard, row, rest, out, least(d_at, s_at, w_at) as spot, case least(d_at, s_at, w_at) when w_at then w when d_at then d else s end as hit, case when least(d_at, s_at, w_at) = w_at then 'v' else 'q' end as kind
+    from (
+      select *, case when d <> '' then strpos(rest, d) end as d_at, case when s <> '' then strpos(rest, regexp_extract(rest, '{_SINGLE}')) + length(regexp_extract(rest, '{_SINGLE}', 1)) end as s_at,
+        case when w <> '' then strpos(rest, regexp_extract(rest, '{_WORD}')) + length(regexp_extract(rest, '{_WORD}', 1)) end as w_at
+      from (select shard, row, rest, out, regexp_extract(rest, '{_DOUBLE}') as d, regexp_extract(rest, '{_SINGLE}', 2) as s, regexp_extract(rest, '{_WORD}', 2) as w from walk where not done)
+    )
+  )
+) select shard, row, out as caption_html from walk where done""")
 def highlight_html(spark, sf_dir):
     return preview.highlighted(_captions(spark, sf_dir)).select("shard", "row", "caption_html")
 
@@ -232,6 +253,18 @@ def metas_rowgroup_range(spark, sf_dir):
     return metas.by_row_group(_index(spark, sf_dir), 50)
 
 
+_GROUPS = "groups as (select 'train-' || lpad(cast(s as varchar), 5, '0') || '-of-00004' as shard, g as row_group, (g * (g + 1) * (7 + s))::bigint as start from (select unnest(range(0, 4)) as s), (select unnest(range(0, 40)) as g))"
+
+
+@query(f"with {_INDEX}, {_GROUPS}, ends as (select *, lead(start) over (partition by shard order by start) as stop from groups) select i.shard, e.row_group, min(i.row) as first, max(i.row) as last, count(*) as hits from idx i join ends e on i.shard = e.shard and i.row >= e.start and (i.row < e.stop or e.stop is null) group by all")
+def metas_real_row_groups(spark, sf_dir):
+    """Row groups of different sizes, as files have them."""
+    g, s = spark.range(40).withColumnRenamed("id", "row_group"), spark.range(4).withColumnRenamed("id", "s")
+    shard = F.concat(F.lit("train-"), F.lpad(F.col("s").cast("string"), 5, "0"), F.lit("-of-00004"))
+    groups = g.join(F.broadcast(s)).select(shard.alias("shard"), "row_group", (F.col("row_group") * (F.col("row_group") + 1) * (7 + F.col("s"))).alias("start"))
+    return metas.in_row_groups(_index(spark, sf_dir), groups)
+
+
 @query(f"with {_INDEX} select shard, row from idx where shard not in ('train-00000-of-00004')")
 def done_anti(spark, sf_dir):
     return metas.not_done(_index(spark, sf_dir), spark.createDataFrame([("train-00000-of-00004",)], "shard string")).select("shard", "row")
@@ -249,14 +282,8 @@ def finished_union(spark, sf_dir):
     return metas.finished_shards(rows.where("row < 5"), rows)
 
 
-@query("with items as (select event_id as n, event_type as shard from events where event_id < 500), t as (select n, shard, lag(shard) over (order by n) as previous from items) select * from t where previous is null or previous <> shard")
-def shard_transitions(spark, sf_dir):
-    return metas.transitions(_table(spark, sf_dir, "events").where("event_id < 500").select(F.col("event_id").alias("n"), F.col("event_type").alias("shard")))
-
-
 @query("with t as (select event_id as n, event_type as shard, lag(event_type) over (order by event_id, event_type) as previous from events) select * from t where previous is null or previous <> shard")
-def shard_transitions_whole(spark, sf_dir):
-    """shard_transitions over all events."""
+def shard_transitions(spark, sf_dir):
     return metas.transitions(_table(spark, sf_dir, "events").select(F.col("event_id").alias("n"), F.col("event_type").alias("shard")))
 
 
@@ -445,15 +472,10 @@ def zero_streak(spark, sf_dir):
     return stats.zero_streaks(chunks, 3, "event_id", "made", ["user_id"])
 
 
-@query("with s as (select event_id, (event_id * 7 + 3)::double as x from events) select event_id, case when x < 60 then printf('%.1fs', x) when x < 3600 then printf('%.1fmin (%.0fs)', x / 60, x) else printf('%.2fh (%.0fs)', x / 3600, x) end as text from s where event_id % 3 <> 0 and x < 3600")
+# Tenths of minutes and hundredths of hours in whole numbers: ties go up, as they do in Spark.
+@query("""with s as (select event_id, event_id * 7 + 3 as x from events), r as (select *, (x * 10 + 30) // 60 as tenths, (x * 100 + 1800) // 3600 as hundredths from s)
+select event_id, case when x < 60 then x || '.0s' when x < 3600 then (tenths // 10) || '.' || (tenths % 10) || 'min (' || x || 's)' else (hundredths // 100) || '.' || lpad((hundredths % 100)::varchar, 2, '0') || 'h (' || x || 's)' end as text from r""")
 def fmt_secs(spark, sf_dir):
-    x = (F.col("event_id") * 7 + 3).cast("double")
-    return _table(spark, sf_dir, "events").where((F.col("event_id") % 3 != 0) & (x < 3600)).select("event_id", naming.readable_seconds(x).alias("text"))
-
-
-@query()
-def fmt_secs_whole(spark, sf_dir):
-    """fmt_secs over all events. SQL rounds ties otherwise, so tests hold it against Python."""
     x = (F.col("event_id") * 7 + 3).cast("double")
     return _table(spark, sf_dir, "events").select("event_id", naming.readable_seconds(x).alias("text"))
 
@@ -465,17 +487,108 @@ def short_count(spark, sf_dir):
     return _table(spark, sf_dir, "part").select("p_partkey", naming.short_count(k * scale).alias("text"))
 
 
-@query()
-def stream_resume(spark, sf_dir):
-    """The index as files, streamed a shard at a time into a store with dense numbers; then once more, which must add nothing."""
+# --- runs over real files -------------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession) -> str:
     import uuid
 
-    from signmine.sources.sinks import CropStore
-    from signmine.streaming import resume
+    return f"{files.shared_dir(spark)}/catalogue-{uuid.uuid4().hex}"
+
+
+def _dataset(spark: SparkSession, sf_dir: str) -> str:
+    """The captions as a folder of four Parquet files named as shards are, each in order of row."""
+    root = _folder(spark)
+    rows = _captions(spark, sf_dir).repartition("shard").sortWithinPartitions("shard", "row")
+    rows.write.partitionBy("shard").parquet(f"{root}/parts")
+    for shard in files.names(spark, f"{root}/parts"):
+        if shard.startswith("shard="):
+            (part,) = files.names(spark, f"{root}/parts/{shard}", ".parquet")
+            files.move(spark, f"{root}/parts/{shard}/{part}", f"{root}/data/{shard.removeprefix('shard=')}.parquet")
+    return f"{root}/data"
+
 
-    root = f"{(spark.conf.get('spark.checkpoint.dir', None) or 'file:///tmp/signmine').rstrip('/')}/stream-{uuid.uuid4().hex}"
-    index.write_index(_index(spark, sf_dir).coalesce(1), f"{root}/index")
-    store = CropStore(spark, f"{root}/store")
-    for _ in range(2):
-        resume.run(resume.by_shard(spark, f"{root}/index"), lambda batch: metas.with_url(batch).withColumn("c", F.lit(0)), store, f"{root}/progress")
+_FILES = f"{_CAPTIONS}, rows as (select shard, row_number() over (partition by shard order by row) - 1 as row, url, re_caption from captions)"
+
+
+@query(f"with {_FILES} select shard, row, url from rows")
+def dataset_scan(spark, sf_dir):
+    """Shards found in a folder, one column of them read, rows known by their place in the file."""
+    return captions.read(spark, _dataset(spark, sf_dir), ("url",))
+
+
+@query(f"with {_FILES} select shard, count(*) as rows, count(*) filter (where {_speaks('re_caption')}) as matched, min(row) filter (where {_speaks('re_caption')}) as first, max(row) filter (where {_speaks('re_caption')}) as last from rows group by shard")
+def filter_run(spark, sf_dir):
+    """The filter step over files: what it has written to the index and the manifest."""
+    config = pipeline.Config(dataset=_dataset(spark, sf_dir), out_root=_folder(spark), max_shards=0, filter_preview_n=0, steps=("filter",)).resolved()
+    pipeline.filter_step(spark, config)
+    found = index.read_index(spark, f"{config.out_root}/index").groupBy("shard").agg(F.min("row").alias("first"), F.max("row").alias("last"))
+    return spark.read.parquet(f"{config.out_root}/manifest").select("shard", "rows", "matched").join(found, "shard")
+
+
+class SizeCodec:
+    """Images are texts "width,height", and their parts texts "left,top,right,bottom"."""
+
+    def decode(self, data):
+        return tuple(map(int, data.decode().split(","))) if data[:1].isdigit() else None
+
+    def size(self, image):
+        return image
+
+    def crop(self, image, left, top, right, bottom):
+        return f"{left},{top},{right},{bottom}".encode()
+
+
+def made_up_fetcher(url: str) -> bytes:
+    """By the number in the URL: every fifth fails, every seventh is no image, and the others have a size that it gives."""
+    n = int("".join(c for c in url if c.isdigit()))
+    if n % 5 == 0:
+        raise OSError(url)
+    return f"{40 + n % 6},30".encode() if n % 7 else b"nonsense"
+
+
+def made_up_detectors() -> list:
+    """One gives two boxes of which one is suppressed, and one without area; the other a box that reaches out of the image, without a score, and one of a low score."""
+    one = lambda images: [[([(2, 2), (20, 2), (20, 10), (2, 10)], 0.75), ([(3, 2), (20, 2), (20, 10), (3, 10)], 0.5), ([(1, 1), (2, 2)], 0.9)] for _ in images]
+    two = lambda images: [[([(30.5, 20), (50, 20), (50, 28.5), (30.5, 28.5)], None), ([(1, 1), (5, 1), (5, 5)], 0.1)] for _ in images]
+    return [one, two]
+
+
+def _crop_run(spark: SparkSession, sf_dir: str, target: int) -> tuple:
+    config = pipeline.Config(out_root=_folder(spark), max_shards=0, target=target, crop_preview_n=0, shards_at_once=3, steps=("crop",)).resolved().planned(spark)
+    index.write_index(_index(spark, sf_dir), f"{config.out_root}/index")
+    done = [pipeline.crop_step(spark, config, made_up_fetcher, SizeCodec(), made_up_detectors) for _ in range(2)]
+    return done, CropStore(spark, f"{config.out_root}/crops").read()
+
+
+_RUN = f"""{_INDEX}, items as (select *, cast(regexp_extract(url, '([0-9]+)', 1) as bigint) as n from idx where url is not null and url <> ''),
+images as (select *, row_number() over (order by shard, row) as image from items where n % 5 <> 0 and n % 7 <> 0),
+used as (select * from images where image <= 120),
+cuts as (select * from (values (0, 30, 20, 99, 29, 1.0::double), (1, 2, 2, 20, 10, 0.75::double)) as t(c, "left", top, "right", bottom, score))"""
+
+
+@query(f"""with {_RUN} select 'image-' || lpad((row_number() over (order by shard, row, c))::varchar, 9, '0') as key, row_number() over (order by shard, row, c) as seq, shard, row, c::integer as c, "left"::integer as "left", top::integer as top, least("right", 40 + n % 6)::integer as "right", bottom::integer as bottom, score,
+  "left" || ',' || top || ',' || least("right", 40 + n % 6) || ',' || bottom as jpeg from used cross join cuts""")
+def crop_run(spark, sf_dir):
+    """Two runs of 60 images each over the index, the second going on where the first stopped: all that is in the store."""
+    return _crop_run(spark, sf_dir, 60)[1].select("key", "seq", "shard", "row", "c", "left", "top", "right", "bottom", "score", F.col("jpeg").cast("string").alias("jpeg"))
+
+
+@query(f"""with {_RUN}, tried as (
+  select i.shard, i.row, (select count(*) from images m where (m.shard, m.row) < (i.shard, i.row)) // 60 as run, (i.n % 5 <> 0 and i.n % 7 <> 0) as good from items i
+) select run::integer as run, count(*) as urls_tried, count(*) filter (where good) as gpu_imgs, 2 * count(*) filter (where good) as crops from tried where run < 2 group by run""")
+def crop_run_statistics(spark, sf_dir):
+    """What each of the two runs counted. Items after a run's last image belong to the next."""
+    done, _ = _crop_run(spark, sf_dir, 60)
+    return spark.createDataFrame([(i, d["urls_tried"], d["gpu_imgs"], d["crops"]) for i, d in enumerate(done)], "run int, urls_tried long, gpu_imgs long, crops long")
+
+
+@query(f"with {_INDEX} select 'image-' || lpad((row_number() over (order by shard, row))::varchar, 9, '0') as key, row_number() over (order by shard, row) as seq, shard, row from idx where url is not null and url <> ''")
+def stream_resume(spark, sf_dir):
+    """The index as files, streamed by rows into a store with dense numbers, in runs that each go on where the last stopped, until one has nothing left."""
+    root = _folder(spark)
+    index.write_index(_index(spark, sf_dir).repartition("shard").sortWithinPartitions("shard", "row"), f"{root}/index")
+    store, size = CropStore(spark, f"{root}/store"), index.read_index(spark, f"{root}/index").count() // 3 + 1
+    while resume.run(resume.by_row(spark, f"{root}/index", size), lambda batch: metas.with_url(batch).withColumn("c", F.lit(0)), store, f"{root}/progress")["crops"]:
+        pass
     return store.read().select("key", "seq", "shard", "row")

@@ -61,6 +61,15 @@ def write(spark: SparkSession, path: str, data: str | bytes) -> None:
         raise OSError(f"can't write {path}")
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Within one file system; the folder is made."""
+    fs, where = _at(spark, path)
+    _, there = _at(spark, to)
+    fs.mkdirs(there.getParent())
+    if not fs.rename(where, there):
+        raise OSError(f"can't move {path} to {to}")
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Whether there was something to delete."""
     fs, where = _at(spark, path)

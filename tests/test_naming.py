@@ -15,5 +15,5 @@ def test_all_events_are_formatted(spark, small):
         x = float(7 * i + 3)
         whole = f" ({x:.0f}s)"
         want.append((i, f"{x:.1f}s" if x < 60 else rounded(x / 60, "0.1") + "min" + whole if x < 3600 else rounded(x / 3600, "0.01") + "h" + whole))
-    found = [tuple(r) for r in catalogue.QUERIES["fmt_secs_whole"](spark, small).collect()]
+    found = [tuple(r) for r in catalogue.QUERIES["fmt_secs"](spark, small).collect()]
     assert sorted(found) == sorted(want) and any("h (" in t for _, t in found) and len(found) == len(ids)
