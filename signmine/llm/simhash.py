@@ -174,7 +174,7 @@ def _compare(distance: int, groups: list[list[int]]):
     """Links among rows that come sorted by (k, v, sub): of each bucket, a forest that has the components of all its links."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest: pd.DataFrame | None = None
+        rest: list[pd.DataFrame] = []  # of the bucket that the last batch ended in, put together once it has ended
 
         def links(rows: pd.DataFrame) -> pd.DataFrame:
             fp = rows["fp"].to_numpy(np.int64).view(np.uint64)
@@ -202,16 +202,19 @@ def _compare(distance: int, groups: list[list[int]]):
             flat = np.array(out, np.uint64).reshape(-1, 2).view(np.int64)
             return pd.DataFrame({"a": flat[:, 0], "b": flat[:, 1]})
 
-        for batch in batches:  # the last bucket of a batch may go on in the next
-            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            last = rows.iloc[-1] if len(rows) else None
-            if last is None:
+        bucket = ["k", "v", "sub", "sv"]
+        for batch in batches:
+            if not len(batch):
                 continue
-            same = (rows["k"] == last["k"]) & (rows["v"] == last["v"]) & (rows["sub"] == last["sub"]) & (rows["sv"] == last["sv"])
-            rest = rows[same]
-            yield links(rows[~same])
-        if rest is not None:
-            yield links(rest)
+            same = (batch[bucket] == batch[bucket].iloc[-1]).all(axis=1).to_numpy()
+            goes_on = bool(rest) and bool((rest[0][bucket].iloc[-1] == batch[bucket].iloc[-1]).all())
+            if goes_on and same.all():
+                rest.append(batch)
+                continue
+            yield links(pd.concat([*rest, batch[~same]], ignore_index=True))
+            rest = [batch[same]]
+        if rest:
+            yield links(pd.concat(rest, ignore_index=True))
 
     return run
 
