@@ -23,7 +23,7 @@ CUT_WORDS = 21
 #: A run of CUT_WORDS + ANCHOR_WINDOW - 1 = 50 words that two documents share has such a cut in common, wherever it stands.
 ANCHOR_WINDOW = 30
 #: Recall at SIMILARITY that the bands must reach, and hashes they may take.
-RECALL, MOST_HASHES = 0.995, 48
+RECALL, MOST_HASHES = 0.995, 24
 #: A bucket with more paragraphs is dealt out by their sizes.
 HOT_BUCKET = 4096
 #: Words that are hashed at a time, and shingles whose MinHashes are computed at a time.
