@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,6 +37,11 @@ def fetch_cap(target: Column, yields=12.0, decodes=0.5, safety=2.5) -> Column:
     return _up(target / _floor(yields, LEAST_YIELD) / _floor(decodes, LEAST_DECODE) * _floor(safety, LEAST_SAFETY))
 
 
+def fetch_cap_of(target: int, yields: float = 12.0, decodes: float = 0.5, safety: float = 2.5) -> int:
+    """fetch_cap() of a number."""
+    return max(1, ceil(target / max(yields, LEAST_YIELD) / max(decodes, LEAST_DECODE) * max(safety, LEAST_SAFETY)))
+
+
 def shards_needed(target: Column, yields=12.0, decodes=0.5, safety=2.5) -> Column:
     """Shards that hold twice the URLs that a target takes."""
     return _up(fetch_cap(target, yields, decodes, safety) * 2 / F.lit(float(MATCHES_A_SHARD)))

@@ -106,8 +106,11 @@ def filter_step(spark: SparkSession, config: Config, fetcher: edges.Fetcher | No
     """
     began = time.time()
     where, known = f"{config.out_root}/index", f"{config.out_root}/manifest"
-    rows, cached = captions.first_shards(captions.read_readable(spark, config.dataset), config.max_shards or 0), None
     listed = [x.removesuffix(".parquet") for x in files.names(spark, config.dataset, ".parquet")]
+    listed = listed[: config.max_shards] if config.max_shards else listed
+    readable = set(captions.readable_shards(spark, config.dataset))
+    # Files without a footer are passed over; what goes wrong later in a file that has one fails the step, and no shard is known by half.
+    rows, cached = captions.read(spark, config.dataset, only=[s for s in listed if s in readable]), None
     if files.exists(spark, known) and not config.force:
         cached = spark.createDataFrame(index.latest(spark.read.parquet(known)).collect(), index.MANIFEST_SCHEMA)  # a row for each shard; kept apart from what is written next
         rows = index.not_cached(rows, cached)
@@ -118,8 +121,7 @@ def filter_step(spark: SparkSession, config: Config, fetcher: edges.Fetcher | No
     fresh = index.counted_manifest(rows, index.read_index(spark, where))
     fresh.write.mode("append").parquet(known)  # after the index: a shard is only known once its rows are there
     latest = index.latest(spark.read.parquet(known))
-    there = {r["shard"] for r in latest.select("shard").collect()}
-    failed = [x for x in (listed[: config.max_shards] if config.max_shards else listed) if x not in there]
+    failed = [s for s in listed if s not in readable]
     for shard in failed:
         log.warning("shard %s has no rows or can't be read; it is tried again in the next run", shard)
     out = index.summary(latest, cached).first().asDict() | {"dataset": config.dataset, "shards_failed": failed, "scan_wall": scan_wall}
@@ -154,11 +156,11 @@ class Progress:
         return metas.after_progress(items, known) if self.rows else items
 
 
-def _fetch_cap(spark: SparkSession, config: Config, crops: int | None, images: int | None) -> int | None:
+def _fetch_cap(config: Config, crops: int | None, images: int | None) -> int | None:
     """Items to try for so many crops and images more; None: all."""
     caps = []
     if crops is not None:
-        caps.append(spark.range(1).select(planning.fetch_cap(F.lit(crops), config.expected_yield, config.expected_decode_rate, config.fetch_safety)).first()[0])
+        caps.append(planning.fetch_cap_of(crops, config.expected_yield, config.expected_decode_rate, config.fetch_safety))
     if images is not None:
         caps.append(int(images / max(config.expected_decode_rate, planning.LEAST_DECODE)) + 1)
     return min(caps) if caps else None
@@ -199,7 +201,7 @@ def crop_step(spark: SparkSession, config: Config, fetcher: edges.Fetcher, codec
                 did["stopped"] = "target"
                 break
             chunk = planning.chunk_target(config.chunk_crops or 0, crops_left)
-            cap = _fetch_cap(spark, config, chunk, images_left)
+            cap = _fetch_cap(config, chunk, images_left)
             reading = time.time()
             items = metas.with_url(progress.left_of(indexed.where(F.col("shard").isin(group)))).select("shard", "row", "url")
             items = files.cut(metas.capped(items, cap) if cap is not None else items)
@@ -208,7 +210,7 @@ def crop_step(spark: SparkSession, config: Config, fetcher: edges.Fetcher, codec
             if config.crop_preview_n and not shown:
                 shown = [f"{r['shard']}:{r['row']}" for r in items.orderBy("shard", "row").limit(5 * config.crop_preview_n).collect()]
             made = files.cut(crops_of(items, config, fetcher, codec, detectors, shown))
-            tried = _batch(spark, config, store, progress, made, crops_left, images_left, did, span)
+            tried = _batch(spark, config, store, progress, made, crops_left, images_left, did, span, bool(shown) and hasattr(codec, "overlay"))
             files.drop(items)
             files.drop(made)
             if not tried:
@@ -238,7 +240,7 @@ def crop_step(spark: SparkSession, config: Config, fetcher: edges.Fetcher, codec
     }
 
 
-def _batch(spark: SparkSession, config: Config, store: sinks.CropStore, progress: Progress, made: DataFrame, crops_left: int | None, images_left: int | None, did: dict, span: Callable) -> int:
+def _batch(spark: SparkSession, config: Config, store: sinks.CropStore, progress: Progress, made: DataFrame, crops_left: int | None, images_left: int | None, did: dict, span: Callable, overlays: bool) -> int:
     """Numbers and writes what a batch has made, up to the targets, and renews progress and counts; how many items it tried."""
     n = F.size("crops")
     ends = lambda a, b: (F.min(a), F.max(F.col(a) + F.col(b)))
@@ -263,7 +265,8 @@ def _batch(spark: SparkSession, config: Config, store: sinks.CropStore, progress
     rows = sequence.with_keys(sequence.up_to(rows, config.target_crops)).withColumn("name", F.format_string("%s__r%08d__c%02d", "shard", "row", "c"))
     writing = time.time()
     written = store.write(rows, progress.batches)
-    _overlays(config, placed, did, spark)
+    if overlays:
+        _overlays(spark, config, placed)
     did["write_sum"] += time.time() - writing
     span("write", writing, time.time())
     got = placed.agg(
@@ -283,12 +286,11 @@ def _batch(spark: SparkSession, config: Config, store: sinks.CropStore, progress
     return tried
 
 
-def _overlays(config: Config, placed: DataFrame, did: dict, spark: SparkSession) -> None:
+def _overlays(spark: SparkSession, config: Config, placed: DataFrame) -> None:
     """Keeps the overlays of the first images for the preview, crop_preview_n at most."""
-    if config.crop_preview_n:
-        some = placed.where("overlay is not null").select(F.concat_ws("__", "shard", F.format_string("r%08d", "row")).alias("name"), "overlay").orderBy("name").limit(config.crop_preview_n).collect()
-        for r in some:
-            files.write(spark, f"{config.out_root}/crops_preview{config.suffix}/{r['name']}.jpg", bytes(r["overlay"]))
+    some = placed.where("overlay is not null").select(F.concat_ws("__", "shard", F.format_string("r%08d", "row")).alias("name"), "overlay").orderBy("name").limit(config.crop_preview_n).collect()
+    for r in some:
+        files.write(spark, f"{config.out_root}/crops_preview{config.suffix}/{r['name']}.jpg", bytes(r["overlay"]))
 
 
 def _shown(spark: SparkSession, config: Config, folder: str, name: str, data: bytes) -> str:
@@ -315,7 +317,9 @@ def write_crops_preview(spark: SparkSession, config: Config, store: sinks.CropSt
 
 def write_filter_preview(spark: SparkSession, config: Config, fetcher: edges.Fetcher) -> int:
     """Fetches the seeded candidates and writes a page of the first good ones; how many. Candidates number max_attempts at most."""
-    rows = metas.rows_of_index(captions.read_readable(spark, config.dataset), index.read_index(spark, f"{config.out_root}/index"))
+    found = index.read_index(spark, f"{config.out_root}/index")
+    shards = [r["shard"] for r in found.select("shard").distinct().orderBy("shard").collect()]  # names of files
+    rows = metas.rows_of_index(captions.read(spark, config.dataset, only=shards), found)
     some = files.cut(preview.highlighted(preview.candidates(rows, config.seed, config.max_attempts)))
     threads = planning.preview_workers(config.filter_preview_threads, config.filter_preview_n, config.max_attempts)
     good = preview.first_good(edges.fetched(some, fetcher, threads).where("ok"), config.filter_preview_n, config.seed)

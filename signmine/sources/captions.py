@@ -10,10 +10,20 @@ from signmine.functions.naming import shard_name
 CAPTION_COLUMNS = ("url", "re_caption", "org_caption")
 
 
-def read(spark: SparkSession, path: str, columns: tuple[str, ...] = CAPTION_COLUMNS) -> DataFrame:
-    """(shard, row, columns): the shard is the file's name, the row its place in the file, from 0, whatever is filtered or split. Only the named columns are read."""
+def read(spark: SparkSession, path: str, columns: tuple[str, ...] = CAPTION_COLUMNS, only: list[str] | None = None) -> DataFrame:
+    """(shard, row, columns): the shard is the file's name, the row its place in the file, from 0, whatever is filtered or split. Only the named columns are read; with only, of these shards."""
     meta = [shard_name(F.col("_metadata.file_name")).alias("shard"), F.col("_metadata.row_index").alias("row")]
-    return spark.read.option("pathGlobFilter", "*.parquet").parquet(path).select(*meta, *columns)
+    if only is None:
+        return spark.read.option("pathGlobFilter", "*.parquet").parquet(path).select(*meta, *columns)
+    if not only:
+        return spark.createDataFrame([], ", ".join(["shard string", "row long", *(f"{c} string" for c in columns)]))
+    schema = ", ".join(f"{c} string" for c in columns)
+    return spark.read.schema(schema).parquet(*[f"{path.rstrip('/')}/{s}.parquet" for s in only]).select(*meta, *columns)
+
+
+def readable_shards(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files that have a footer and rows, in order; no column is read."""
+    return sorted(r["shard"] for r in shards(read_readable(spark, path)).collect())
 
 
 def read_readable(spark: SparkSession, path: str, columns: tuple[str, ...] = CAPTION_COLUMNS) -> DataFrame:

@@ -61,5 +61,6 @@ def test_names(spark):
 def test_planning(spark):
     row = spark.range(1).select(planning.shown_fetch_cap(F.lit(1000)).alias("a"), planning.fetch_cap(F.lit(1000)).alias("b"), planning.chunk_size(F.lit(100_000)).alias("c"), planning.chunk_size(F.lit(3_000_000)).alias("d")).first()
     assert tuple(row) == (420, 417, 0, 100_000)
+    assert planning.fetch_cap_of(1000) == 417 and planning.fetch_cap_of(0) == 1 and planning.fetch_cap_of(7, 0.0, 0.0, 0.0) == 1400
     assert planning.chunk_target(0, 30) == 30 and planning.chunk_target(10, 30) == 10 and planning.chunk_target(10, None) == 10
     assert planning.expected_yield(0) == 12 and planning.expected_yield(10) == 5 and planning.preview_workers(32, 10, 0) == 1

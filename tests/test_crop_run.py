@@ -66,9 +66,9 @@ def test_max_shards_takes_the_first_that_are_not_done(spark, indexed, tmp_path):
 
 
 def test_chunks(spark, indexed, tmp_path):
-    did = run(spark, indexed, tmp_path, target_crops=60, chunk_crops=8, expected_yield=2.0, fetch_safety=1.0)
-    store = CropStore(spark, f"{tmp_path}/crops_t60")
-    assert did["total"] == 60 and did["target_crops_met"] and store.read().select("batch").distinct().count() > 3 and images(spark, tmp_path, "_t60") == indexed[2][:30]
+    did = run(spark, indexed, tmp_path, target_crops=30, chunk_crops=8, expected_yield=2.0, fetch_safety=1.0)
+    store = CropStore(spark, f"{tmp_path}/crops_t30")
+    assert did["total"] == 30 and did["target_crops_met"] and store.read().select("batch").distinct().count() > 2 and images(spark, tmp_path, "_t30") == indexed[2][:15]
 
 
 def test_a_run_that_finds_nothing_stops(spark, indexed, tmp_path):
@@ -88,6 +88,17 @@ def test_statistics_and_previews(spark, indexed, tmp_path):
     assert did["previews"] == 3 and page.count("data:image/jpeg;base64,") == 6 and [f"{s}__r{r:08d}" in page for s, r in indexed[2][:4]] == [True, True, True, False]
 
 
+def test_overlays_are_kept_for_the_first_images(spark, indexed, tmp_path):
+    codec, (dataset, root, good) = codecs.PixmapCodec(), indexed  # noqa: F811
+    Path(tmp_path, "index").symlink_to(root / "index")
+    pixmap = codec.encode(np.zeros((30, 40, 3), np.uint8))
+    pipeline.run(spark, pipeline.Config(dataset=dataset, out_root=str(tmp_path), steps=("crop",), max_shards=1, target=4, crop_preview_n=2), lambda url: pixmap if fake_fetcher(url)[:1].isdigit() else b"", codec, fake_detectors)
+    names = [f"{s}__r{r:08d}.jpg" for s, r in good[:2]]
+    assert sorted(p.name for p in Path(tmp_path, "crops_preview").iterdir() if p.suffix == ".jpg") == names
+    drawn = codec.decode(Path(tmp_path, "crops_preview", names[0]).read_bytes())
+    assert tuple(drawn[2, 10]) == codecs.BOX_COLOUR and all(n in Path(tmp_path, "crops_preview.html").read_text() for n in names)
+
+
 def test_an_image_goes_through_each_edge_once(spark, indexed):
     items = index.read_index(spark, f"{indexed[1]}/index").select("shard", "row", "url")
     plan = pipeline.crops_of(items, pipeline.Config().resolved(), fake_fetcher, FakeCodec(), fake_detectors)._jdf.queryExecution().executedPlan().toString()
