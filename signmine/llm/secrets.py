@@ -21,7 +21,7 @@ TOKEN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-
 FDR = 0.05
 #: Lengths of the classes that the rate is kept within; strings of the last may be longer.
 CLASSES = ((20, 24), (24, 32), (32, 48), (48, 96), (96, 200))
-#: Characters of a document that its written strings are made from.
+#: Characters of a passage, whose words are put together in one way; a text is cut into passages from end to end.
 PASSAGE = 400
 #: p-values are counted in so many bins of equal width in -log10 p, so that the ranks need no sort of all strings.
 BINS, BINS_PER_DECADE = 320, 20
@@ -110,31 +110,43 @@ def _bin(p: Column) -> Column:
 
 
 def written(text: Column, key: Column) -> Column:
-    """Strings as people write them, made of a document's own words: one for each length class, as array<string>, fewer from short texts.
+    """Strings as people write them, made of all of a document's own words, as array<string>: each letter of the text stands in one of them.
 
-    key, a hash, says where in the text the words are taken from, how they are put together (as names, paths and slugs are: run together, capitalised, in capitals, by -, _ or /), to which
+    The text is cut into passages, and each passage from end to end into strings, one for each length class as far as it reaches; the last takes the rest. A text of fewer letters than a string has gives none.
+    key, a hash, and the passage say how the words are put together (as names, paths and slugs are: run together, capitalised, in capitals, by -, _ or /), to which
     lengths, and which digits, one to four, end or part them.
     """
-    odd = lambda salt, n: F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(n)).cast("int")
-    start = F.pmod(key, F.greatest(F.length(text) - PASSAGE, F.lit(0)).cast("long") + 1).cast("int") + 1
-    plain = F.trim(F.regexp_replace(F.substring(text, start, F.lit(PASSAGE)), "[^A-Za-z]+", " "))
-    style = odd(1, 4)
-    cased = bound(plain, lambda x: F.when(style == 0, F.lower(x)).when(style == 1, F.upper(x)).when(style == 2, F.initcap(x)).otherwise(x))
-    body = F.replace(cased, F.lit(" "), F.element_at(F.array(*map(F.lit, ("", "", "", "-", "_", "/"))), odd(2, 6) + 1))
-    drawn = F.lpad(F.conv(F.hex(F.xxhash64(key, F.lit(3))), 16, 10), 20, "7")
+    least = CLASSES[0][0]
+    plain = F.trim(F.regexp_replace(text, "[^A-Za-z]+", " "))
+    # What is left at the end joins the passage before, unless it is enough for a string: of single spaces and letters, half are letters.
+    passages = F.regexp_extract_all(plain, F.lit(f".{{{PASSAGE},{PASSAGE + 2 * least}}}$|.{{1,{PASSAGE}}}"), F.lit(0))
+
+    def joined(passage: Column, place: Column) -> Column:
+        return bound(F.struct(F.xxhash64(passage, place, key).alias("key"), F.trim(passage).alias("plain")), lambda x: bound(styled(x["plain"], x["key"]), made))
+
+    def styled(words: Column, key: Column) -> Column:
+        odd = lambda salt, n: F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(n)).cast("int")
+        style = odd(1, 4)
+        cased = F.when(style == 0, F.lower(words)).when(style == 1, F.upper(words)).when(style == 2, F.initcap(words)).otherwise(words)
+        body = F.replace(cased, F.lit(" "), F.element_at(F.array(*map(F.lit, ("", "", "", "-", "_", "/"))), odd(2, 6) + 1))
+        drawn = F.lpad(F.conv(F.hex(F.xxhash64(key, F.lit(3))), 16, 10), 20, "7")
+        digits = [F.substring(drawn, F.lit(4 * i + 1), F.pmod(key, F.lit(3 + i)).cast("int") % 4 + 1) for i in range(len(CLASSES))]
+        sizes = [low + F.pmod(F.shiftright(key, 7 * i), F.lit(high - low)).cast("int") for i, (low, high) in enumerate(CLASSES)]
+        return F.struct(key.alias("key"), body.alias("body"), F.length(body).alias("length"), F.array(*digits).alias("digits"), F.array(*sizes).alias("sizes"))
 
     def made(x: Column) -> Column:
         out, at = [], F.lit(1)
-        for i, (low, high) in enumerate(CLASSES):
-            digits = F.substring(x["drawn"], F.lit(4 * i + 1), F.pmod(x["key"], F.lit(3 + i)).cast("int") % 4 + 1)
-            n = low + F.pmod(F.shiftright(x["key"], 7 * i), F.lit(high - low)).cast("int") - F.length(digits)
+        for i in range(len(CLASSES)):
+            digits, rest = x["digits"][i], x["length"] - at + 1
+            own = x["sizes"][i] - F.length(digits)
+            n = F.when(rest - own >= least, own).otherwise(rest) if i + 1 < len(CLASSES) else rest
             half = F.when(F.pmod(F.shiftright(x["key"], i), F.lit(2)) == 0, n).otherwise(F.floor(n / 2).cast("int"))
             whole = F.concat(F.substring(x["body"], at, half), digits, F.substring(x["body"], at + half, n - half))
-            out.append(F.when(F.length(x["body"]) >= at + n - 1, whole))
-            at = at + F.lit(low)
+            out.append(F.when(rest + (0 if i else F.length(digits)) >= least, whole))
+            at = at + own
         return F.filter(F.array(*out), lambda s: s.isNotNull())
 
-    return bound(F.struct(key.alias("key"), body.alias("body"), drawn.alias("drawn")), made)
+    return F.flatten(F.transform(passages, joined))
 
 
 def _named(place: int, kind: str):

@@ -63,6 +63,24 @@ def test_planted_random_strings_are_added_and_written_ones_are_not(spark, medium
     assert sum(hits.values()) > 0.9 * len(hits) and sum(hits.values()) > 0.85 * added
 
 
+def test_written_strings_are_made_of_the_whole_text(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 12)))
+    texts = ["", "a b c", "\u0436 12", *[" ".join(word() for _ in range(n)) for n in (*range(10, 300, 7), 2000)], *["a " * n + "b" for n in range(190, 260)], "x" * 5000, "one-\u0436 TWO\n" * 400]
+    for t, made in spark.createDataFrame([(t,) for t in texts], "t string").select("t", secrets.written(F.col("t"), F.xxhash64("t"))).collect():
+        letters = [c for c in t.lower() if "a" <= c <= "z"]
+        want = letters if len(letters) >= 20 else []
+        assert [c for s in made for c in s.lower() if c.isalpha()] == want
+        assert all(len(s) >= 20 and re.search("[0-9]", s) for s in made)
+
+
+def test_thresholds_count_what_stands_far_inside_a_text(spark):
+    words = ["lorem", "ipsum", "dolor", "amet"]
+    docs = spark.createDataFrame([(1, " ".join(words * 5000))], "doc_id long, text string")
+    (n,) = secrets.scanned(docs).select(F.sum(F.size("written"))).first()
+    assert n > 100  # 95,000 letters, five strings of 20 to 200 and some in each passage
+
+
 def test_spans_that_share_a_place_with_base_spans_are_left_out(spark):
     rng = random.Random(3)
     kind = "array<struct<start:int,end:int,body:string>>"
