@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import partial
 from itertools import combinations
+from math import acos, comb, log2, pi
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,15 @@ SMALL, DENSE = 48, 1500
 #: Cost of sending one probe row, against that of comparing one pair.
 PROBE_COST = 20.0
 
+#: Bits of a signature, which is a fingerprint of several words; a bucket of signatures has so many, about; a larger one than HOT_BUCKET is dealt out by pairs of parts.
+WIDE, WIDE_BUCKET = 256, 1024
+#: Chance that a pair of the least similarity shares a group, and that it lies within the distance.
+WIDE_RECALL, WITHIN = 0.999, 0.9995
+
+_draw = np.random.default_rng(31)
+_LANES = _draw.integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _draw.integers(0, 1 << 63, 16, dtype=np.uint64)
+
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
 _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _WEIGHTS = np.uint64(1) << np.arange(BITS, dtype=np.uint64)
@@ -42,6 +52,17 @@ def fingerprint(text: str | None) -> int:
     return int(_WEIGHTS[2 * ones > n].sum(dtype=np.uint64))
 
 
+def signature(hashes: np.ndarray) -> np.ndarray:
+    """WIDE bits, as uint64, of a set of mixed 64-bit hashes: a bit is 1 if set in over half of them."""
+    ones, lanes = np.zeros(WIDE, np.int64), WIDE // BITS
+    for at in range(0, len(hashes), 1 << 13):
+        x = hashes[at : at + (1 << 13), None] * _LANES[:lanes] + _SHIFTS[:lanes]
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+        ones += np.unpackbits(x.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)
+
+
 @F.pandas_udf(T.LongType())
 def fingerprint_udf(texts: pd.Series) -> pd.Series:
     return pd.Series(np.array([fingerprint(x if isinstance(x, str) else None) for x in texts], np.uint64).view(np.int64))
@@ -257,6 +278,113 @@ def near_links(fps: DataFrame, distance: int = DISTANCE, hot: int = HOT_BUCKET)
     return dealt.select("fp", "k", "v", "sub", "sv", "exact").mapInPandas(_compare(distance, groups), "a long, b long")
 
 
+def wide_plan(total: int, similarity: float, recall: float = WIDE_RECALL) -> tuple[int, list[list[int]]]:
+    """For `total` signatures of sets: the greatest distance that is taken as near, and groups of bits of which near ones share one.
+
+    A Jaccard similarity J of sets of one size is a cosine of 2 J / (1 + J), and a bit differs with the chance of its angle over pi. 64 bits or more that far apart are beyond the pigeonhole of any
+    few groups; but m groups of threshold 0, whose sum is that of the generalised pigeonhole for m - 1 differing bits, have one in common far more often than it warrants: as many are taken as reach `recall` at
+    that similarity, and buckets hold about WIDE_BUCKET. Groups go through all bits in one order, and in further ones where there are more.
+    """
+    differ = acos(2 * similarity / (1 + similarity)) / pi
+    chances = np.array([comb(WIDE, d) * differ**d * (1 - differ) ** (WIDE - d) for d in range(WIDE + 1)])
+    distance = int(np.searchsorted(chances.cumsum(), WITHIN))
+    size = max(4, round(log2(max(total, 2) / WIDE_BUCKET) + 0.5))
+    apart = 1 - (1 - differ) ** size
+    n = int(np.ceil(np.log(1 - recall) / np.log(apart)))
+    if n * size > WIDE:  # bits recur: chances given the number of differing bits
+        shared = np.maximum(0.0, np.prod([(WIDE - np.arange(WIDE + 1) - i) / (WIDE - i) for i in range(size)], axis=0))
+        shared[WIDE - size + 1 :] = 0.0
+        while chances @ (1 - shared) ** n > 1 - recall:
+            n += 1
+    draw, groups = np.random.default_rng(37), []
+    while len(groups) < n:
+        order = draw.permutation(WIDE)
+        groups += [sorted(order[at : at + size].tolist()) for at in range(0, WIDE - size + 1, size)]
+    return distance, groups[:n]
+
+
+def _forest(lanes: list[np.ndarray], distance: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Links (places) that join what all pairs of signatures within distance join: what is in a component already is compared with the rest only."""
+    n = len(lanes[0])
+    differing = lambda a, b: sum(np.bitwise_count(x[a][:, None] ^ x[b][None, :]).astype(np.uint16) for x in lanes)
+    left, out, known = np.arange(n), [], None
+    if n <= 2048:
+        rows = [differing(np.arange(at, min(at + 256, n)), left) <= distance for at in range(0, n, 256)]
+        known = np.concatenate(rows)
+        left = np.flatnonzero(known.sum(axis=1) > 1)
+    while len(left) > 1:
+        frontier, left = left[:1], left[1:]
+        while len(frontier) and len(left):
+            now, frontier = frontier[:64], frontier[64:]
+            hit = known[np.ix_(now, left)] if known is not None else differing(now, left) <= distance
+            found = hit.any(axis=0)
+            if found.any():
+                new = left[found]
+                out.append((now[hit[:, found].argmax(axis=0)], new))
+                left, frontier = left[~found], np.concatenate([frontier, new])
+    return out
+
+
+def _compare_wide(distance: int, columns: list[str]):
+    """Links among rows that come sorted by (key, tile)."""
+
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        key, tile, node = (rows[c].to_numpy(np.int64) for c in ("key", "tile", "node"))
+        lanes = [rows[c].to_numpy(np.int64).view(np.uint64) for c in columns]
+        edges = np.flatnonzero((key[1:] != key[:-1]) | (tile[1:] != tile[:-1])) + 1
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for start, end in zip([0, *edges.tolist()], [*edges.tolist(), len(rows)], strict=True):
+            if end - start > 1:
+                mine = node[start:end]
+                for x, y in _forest([lane[start:end] for lane in lanes], distance):
+                    a.append(mine[x])
+                    b.append(mine[y])
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest: list[pd.DataFrame] = []  # of the bucket that the last batch ended in
+        for batch in batches:
+            if not len(batch):
+                continue
+            last = batch[["key", "tile"]].iloc[-1]
+            same = ((batch["key"] == last["key"]) & (batch["tile"] == last["tile"])).to_numpy()
+            if rest and same.all() and (rest[0][["key", "tile"]].iloc[-1] == last).all():
+                rest.append(batch)
+                continue
+            if rest or not same.all():
+                yield links(pd.concat([*rest, batch[~same]], ignore_index=True))
+            rest = [batch[same]]
+        if rest:
+            yield links(pd.concat(rest, ignore_index=True))
+
+    return run
+
+
+def wide_links(signatures: DataFrame, similarity: float, hot: int = HOT_BUCKET) -> DataFrame:
+    """Links (a, b) of signatures (node, f0, f1, ...: WIDE bits) that join those that share a group of bits and lie within the distance of wide_plan(): nearly all pairs of sets of
+    that Jaccard similarity, and some of less. For candidates, whose sets are compared then.
+
+    Each signature goes to a bucket in each group. A bucket gives fewer links than it has rows. One of more than `hot` rows is dealt out in parts, and each pair of parts compared by itself.
+    """
+    columns = [f"f{i}" for i in range(WIDE // BITS)]
+    distance, groups = wide_plan(signatures.count(), similarity)
+
+    def named(g: int) -> Column:
+        masks = [mask([b - BITS * i for b in groups[g] if b // BITS == i]) for i in range(len(columns))]
+        return F.xxhash64(F.lit(g), *[F.col(c).bitwiseAND(F.lit(m)) for c, m in zip(columns, masks, strict=True)])
+
+    rows = signatures.select("node", *columns, F.explode(F.array(*map(named, range(len(groups))))).alias("key"))
+    large = cut(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key", F.ceil(F.col("n") / hot).alias("parts")))
+    if large.isEmpty():
+        dealt = rows.withColumn("tile", F.lit(0).cast("long"))
+    else:
+        mine = F.pmod(F.xxhash64("node"), F.col("parts"))
+        tiles = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda other: F.least(mine, other) * F.col("parts") + F.greatest(mine, other))
+        dealt = rows.join(large, "key", "left").withColumn("tile", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(tiles))).drop("parts")
+    dealt = dealt.select("key", "tile", "node", *columns).repartition("key", "tile").sortWithinPartitions("key", "tile")
+    return dealt.mapInPandas(_compare_wide(distance, columns), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """A row for each row of docs: doc_id, fp (the fingerprint, as a signed long), root (of its component, a fingerprint too), component_id.
 

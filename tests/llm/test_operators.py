@@ -1,6 +1,7 @@
 """Operators against brute force, round trips and held-out accuracy."""
 
 import hashlib
+import math
 import random
 import re
 from collections import defaultdict
@@ -497,6 +498,57 @@ def test_near_dedup_stage_against_brute_force(spark):
     assert kept == {want.root(i) for i in range(len(docs))} and far > 10
 
 
+@pytest.mark.parametrize("total", [500, 60_000, 20_000_000])
+def test_groups_of_signatures_reach_the_recall(total):
+    rng = np.random.default_rng(2)
+    distance, groups = simhash.wide_plan(total, 0.8)
+    at, shared, near = np.array(groups), 0, 0
+    for _ in range(20_000):  # cosine 8/9
+        differs = rng.random(simhash.WIDE) < math.acos(8 / 9) / math.pi
+        shared += not differs[at].any(axis=1).all()
+        near += differs.sum() <= distance
+    assert shared > 0.998 * 20_000 and near > 0.999 * 20_000 and total / 2 ** at.shape[1] <= simhash.WIDE_BUCKET
+
+
+@pytest.mark.parametrize("hot", [simhash.HOT_BUCKET, 7])
+def test_links_of_signatures_against_brute_force(spark, hot):
+    rng = np.random.default_rng(6)
+    sets = []
+    for _ in range(60):
+        base = rng.integers(0, 1 << 63, rng.integers(5, 200), dtype=np.uint64)
+        for _ in range(rng.integers(1, 6)):
+            own = base[rng.random(len(base)) < 0.95]
+            sets.append(np.unique(np.concatenate([own, rng.integers(0, 1 << 63, max(1, len(base) // 30), dtype=np.uint64)])))
+    sets += [sets[0]] * 30
+    bits = [simhash.signature(x) for x in sets]
+    rows = [(i, *map(int, x.view(np.int64))) for i, x in enumerate(bits)]
+    distance, groups = simhash.wide_plan(len(sets), 0.8)
+    flat = np.array([np.unpackbits(x.view(np.uint8), bitorder="little") for x in bits])
+    have, want, similar = Sets(), Sets(), []
+    for i, j in combinations(range(len(sets)), 2):
+        same = flat[i] == flat[j]
+        if (~same).sum() <= distance and any(same[g].all() for g in groups):
+            want.join(i, j)
+        both = len(np.intersect1d(sets[i], sets[j]))
+        if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+            similar.append((i, j))
+    columns = "node long, " + ", ".join(f"f{i} long" for i in range(simhash.WIDE // 64))
+    for a, b in simhash.wide_links(spark.createDataFrame(rows, columns), 0.8, hot).collect():
+        have.join(a, b)
+    assert [have.root(i) for i in range(len(sets))] == [want.root(i) for i in range(len(sets))]
+    assert len(similar) > 100 and all(have.root(i) == have.root(j) for i, j in similar)
+
+
+def test_near_dedup_stage_goes_through_simhash(spark, monkeypatch):
+    rng = random.Random(3)
+    words = text(rng, 200, 5000).split()
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words[:-1], "other"])), (3, text(rng, 200, 5000))], "doc_id long, text string")
+    kept = lambda: {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert kept() == {1, 3}
+    monkeypatch.setattr("signmine.llm.near_documents.wide_links", lambda signatures, similarity: spark.createDataFrame([], "a long, b long"))
+    assert kept() == {1, 2, 3}
+
+
 # --- the pipeline's line dedup ------------------------------------------------------------------
 
 
