@@ -53,31 +53,41 @@ def battery(body: Column) -> Column:
         of = lambda values: F.element_at(F.array(*map(F.lit, values)), i + 1)
         plain = F.when((i == 0) | (i == 2), F.lower(body)).otherwise(F.translate(body, "_-", "/+"))
         signs = F.slice(F.split(plain, ""), 1, F.length(body))
-        codes = bound(of([a for _, _, a in ALPHABETS]), lambda alphabet: F.transform(signs, lambda c: F.position(c, alphabet).cast("int") - 1))
-        return F.struct(of([e for e, _, _ in ALPHABETS]).alias("name"), codes.alias("codes"), of([float(len(a)) for _, _, a in ALPHABETS]).alias("k"))
+        codes = bound(of([a for _, _, a in ALPHABETS]), lambda alphabet: F.transform(signs, lambda c: F.position(c, alphabet).cast("bigint") - 1))
+        upper = F.lit("")
+        for j, (_, _, alphabet) in enumerate(ALPHABETS):  # each with its own constants, which translate() keeps a table of
+            half = len(alphabet) // 2
+            upper = F.when(i == j, F.translate(plain, alphabet, "0" * half + "1" * half)).otherwise(upper)
+        return F.struct(of([e for e, _, _ in ALPHABETS]).alias("name"), codes.alias("codes"), upper.alias("upper"), of([float(len(a)) for _, _, a in ALPHABETS]).alias("k"))
 
-    zero = F.lit(0.0)
+    zero = F.lit(0).cast("bigint")
 
     def sums(x: Column) -> Column:
-        """One pass for sums over the symbols, their neighbours and their halves, and one over the sorted symbols for the sum of the squares of their counts."""
-        half = x["k"] / 2
-        first = F.struct(F.lit(-1.0).alias("before"), *[zero.alias(c) for c in ("s", "q", "pairs", "upper", "changes")])
-
-        def step(acc: Column, code: Column) -> Column:
-            c, old = code.cast("double"), acc["before"]
-            change = F.when((old >= 0) & ((old >= half) != (c >= half)), 1.0).otherwise(0.0)
-            return F.struct(
-                c.alias("before"), (acc["s"] + c).alias("s"), (acc["q"] + c * c).alias("q"), (acc["pairs"] + F.when(old >= 0, old * c).otherwise(zero)).alias("pairs"),
-                (acc["upper"] + F.when(c >= half, 1.0).otherwise(0.0)).alias("upper"), (acc["changes"] + change).alias("changes"),
-            )
+        """Sums over the symbols, their neighbours and halves, and of the squares of their counts; a state that is one number is far cheaper than a struct."""
+        codes = x["codes"]
+        n = F.size(codes)
+        # The last symbol stands in the lowest six bits, the sum of the products of neighbours above.
+        pairs = F.shiftright(F.aggregate(codes, zero, lambda acc, c: acc + acc.bitwiseAND(F.lit(63)) * (c * 64 - 1) + c), 6)
+        gone = lambda sign: F.length(x["upper"]) - F.length(F.replace(x["upper"], F.lit(sign), F.lit("")))
+        a = F.struct(
+            F.aggregate(codes, zero, lambda acc, c: acc + c).cast("double").alias("s"), F.aggregate(codes, zero, lambda acc, c: acc + c * c).cast("double").alias("q"), pairs.cast("double").alias("pairs"),
+            gone("1").cast("double").alias("upper"), ((gone("01") + gone("10")) / 2).alias("changes"),
+        )
+
+        def packed(acc: Column, code: Column) -> Column:
+            """Of sorted symbols: the last in six bits, its run's length in 17, the sum of squares above."""
+            run = F.shiftright(acc, 6).bitwiseAND(F.lit(131_071))
+            return F.when(acc.bitwiseAND(F.lit(63)) == code, acc + run * (1 << 24) + ((1 << 23) + 64)).otherwise(F.shiftright(acc, 23) * (1 << 23) + code + ((1 << 23) + 64))
 
         def count(acc: Column, code: Column) -> Column:
             run = F.when(acc["before"] == code, acc["run"] + 1.0).otherwise(F.lit(1.0))
             return F.struct(code.alias("before"), run.alias("run"), (acc["squares"] + 2.0 * run - 1.0).alias("squares"))
 
-        squares = F.aggregate(F.sort_array(x["codes"]), F.struct(F.lit(-1).alias("before"), zero.alias("run"), zero.alias("squares")), count, lambda acc: acc["squares"])
-        ends = (F.get(x["codes"], 0) + F.get(x["codes"], F.size(x["codes"]) - 1)).cast("double")
-        return F.struct(x["name"].alias("name"), x["k"].alias("k"), F.size(x["codes"]).cast("double").alias("n"), F.aggregate(x["codes"], first, step).alias("a"), squares.alias("squares"), ends.alias("ends"))
+        ranked = F.sort_array(codes)
+        long = F.aggregate(ranked, F.struct((zero - 1).alias("before"), F.lit(0.0).alias("run"), F.lit(0.0).alias("squares")), count, lambda acc: acc["squares"])
+        short = F.shiftright(F.aggregate(ranked, F.lit(63).cast("bigint"), packed), 23).cast("double")
+        ends = (F.get(codes, 0) + F.get(codes, n - 1)).cast("double")
+        return F.struct(x["name"].alias("name"), x["k"].alias("k"), n.cast("double").alias("n"), a.alias("a"), F.when(n <= 50_000, short).otherwise(long).alias("squares"), ends.alias("ends"))
 
     def scores(x: Column) -> Column:
         k, n, a = x["k"], x["n"], x["a"]
