@@ -202,8 +202,8 @@ def thresholds(looked_at: DataFrame, fdr: float = FDR) -> DataFrame:
 
     The hypothesis of each string is that it is written. Its chance to be of that encoding and to look at least so random is counted over the written strings of all documents. By
     Benjamini-Hochberg, m times that chance over the number of strings found so is the share of false ones: bins are taken while it is fdr or less. Classes
-    are apart, so that many short strings, whose tests tell little, don't decide about long ones, and short ones are only added where random ones abound. One is added to the count of written strings,
-    so little text adds nothing. Counts by class, encoding and bin meet, 5 x 4 x 321 rows at most.
+    are apart, so that many short strings, whose tests tell little, don't decide about long ones, and short ones are only added where random ones abound. To the count of written strings come
+    two of its standard errors, as strings of one passage are put together alike and tell less than as many independent ones, and one, so little text adds nothing. Counts by class, encoding and bin meet, 5 x 4 x 321 rows at most.
     """
     def counted(column: str, name: str) -> DataFrame:
         one = looked_at.select(F.explode(column).alias("t")).select("t.test.*" if column == "tested" else "t.*")
@@ -214,7 +214,7 @@ def thresholds(looked_at: DataFrame, fdr: float = FDR) -> DataFrame:
     whole = Window.partitionBy("class")
     total = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
     ranked = both.select("class", "encoding", "bin", total("found", upto).alias("found"), total("null", upto).alias("null"), total("found", whole).alias("m"), total("null", whole).alias("all"))
-    false = F.col("m") * (F.col("null") + 1) / (F.col("all") + 1)
+    false = F.col("m") * (F.col("null") + 2.0 * F.sqrt("null") + 1) / (F.col("all") + 1)
     return ranked.where((F.col("found") > 0) & (false <= fdr * F.col("found"))).groupBy("class", "encoding").agg(F.max("bin").alias("bin"))
 
 
