@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +35,21 @@ ALPHABETS = (
     ("base64", r"^.*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
 )
 
+#: Strings of so many symbols or fewer have their sums in one number: above the last symbol's six bits stand (lowest bit, bits) the sums of symbols, of their squares and of neighbours' products.
+SHORT, PACKED = 512, ((6, 15), (21, 21), (42, 21))
+#: The least p-value that is told apart.
+FLOOR = 1e-16
+
+
+def _packed(alphabet: str) -> list[int]:
+    """For each ASCII code the character's value c in the alphabet and what it adds to the first two sums, as one number: c, and c and its square at their places in PACKED. 0 for other characters."""
+    return [c + (c << PACKED[0][0]) + (c * c << PACKED[1][0]) for c in (max(0, alphabet.find(chr(i))) for i in range(128))]
+
+
+def _then(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is computed once, as with bound(), but not copied: an aggregate of nothing hands its first state to its end."""
+    return F.aggregate(F.expr("cast(array() as array<int>)"), value, lambda acc, _: acc, use)
+
 
 def _normal_tail(z: Column) -> Column:
     """P(Z > z), by the logistic form 1 / (1 + exp(1.5976 z + 0.07056 z^3)), within 0.00015."""
@@ -49,63 +66,76 @@ def battery(body: Column) -> Column:
     for i, (_, pattern, _) in reversed([*enumerate(ALPHABETS)]):
         which = F.when(body.rlike(pattern), F.lit(i)).otherwise(which)
 
-    def coded(i: Column) -> Column:
-        of = lambda values: F.element_at(F.array(*map(F.lit, values)), i + 1)
-        plain = F.when((i == 0) | (i == 2), F.lower(body)).otherwise(F.translate(body, "_-", "/+"))
-        signs = F.slice(F.split(plain, ""), 1, F.length(body))
-        codes = bound(of([a for _, _, a in ALPHABETS]), lambda alphabet: F.transform(signs, lambda c: F.position(c, alphabet).cast("bigint") - 1))
-        upper = F.lit("")
-        for j, (_, _, alphabet) in enumerate(ALPHABETS):  # each with its own constants, which translate() keeps a table of
-            half = len(alphabet) // 2
-            upper = F.when(i == j, F.translate(plain, alphabet, "0" * half + "1" * half)).otherwise(upper)
-        return F.struct(of([e for e, _, _ in ALPHABETS]).alias("name"), codes.alias("codes"), upper.alias("upper"), of([float(len(a)) for _, _, a in ALPHABETS]).alias("k"))
-
     zero = F.lit(0).cast("bigint")
+    code = lambda v: v.bitwiseAND(F.lit(63))
+    of = lambda x, values: F.element_at(F.array(*map(F.lit, values)), x["i"] + 1)
+
+    def coded(i: Column) -> Column:
+        plain = F.when((i == 0) | (i == 2), F.lower(body)).otherwise(F.replace(F.replace(body, F.lit("_"), F.lit("/")), F.lit("-"), F.lit("+")))
+        return F.struct(i.alias("i"), plain.alias("plain"), F.split(plain, "").alias("signs"))
+
+    def uneven(x: Column) -> Column:
+        """The chi-squared test, by the count of each symbol that occurs."""
+        counts = F.transform(F.array_distinct(x["signs"]), lambda c: F.size(x["signs"]) - F.octet_length(F.replace(x["plain"], c, F.lit(""))))
+        squares = F.aggregate(counts, zero, lambda acc, c: acc + c * c.cast("bigint")).cast("double")
+        k, n = of(x, [float(len(a)) for _, _, a in ALPHABETS]), F.size(x["signs"]).cast("double")
+
+        def chi(s: Column) -> Column:
+            return (s["k"] / s["n"] * s["squares"] - s["n"] - (s["k"] - 1)) / F.sqrt(2.0 * (s["k"] - 1) * (s["n"] - 1) / s["n"])
+
+        p = _then(_then(F.struct(k.alias("k"), n.alias("n"), squares.alias("squares")), chi), _normal_tail)
+        return F.struct(*[x[c].alias(c) for c in ("i", "plain", "signs")], n.alias("n"), p.alias("chi"))
+
+    def parts(x: Column) -> Column:
+        """The symbols' packed values, and the runs of the alphabet's upper half."""
+        values, upper = F.lit(None).cast("array<bigint>"), F.lit(None).cast("array<string>")
+        for i, (_, _, alphabet) in enumerate(ALPHABETS):  # each with its own constants, which are made once
+            table, half = F.array(*map(F.lit, _packed(alphabet))), f"[{alphabet[len(alphabet) // 2 :]}]+"
+            values = F.when(x["i"] == i, F.transform(x["signs"], lambda c: F.get(table, F.ascii(c)))).otherwise(values)  # noqa: B023
+            upper = F.when(x["i"] == i, F.regexp_extract_all(x["plain"], F.lit(half), F.lit(0))).otherwise(upper)
+        return F.struct(x["i"].alias("i"), x["n"].alias("n"), values.alias("values"), upper.alias("upper"))
 
     def sums(x: Column) -> Column:
-        """Sums over the symbols, their neighbours and halves, and of the squares of their counts; a state that is one number is far cheaper than a struct."""
-        codes = x["codes"]
-        n = F.size(codes)
-        # The last symbol stands in the lowest six bits, the sum of the products of neighbours above.
-        pairs = F.shiftright(F.aggregate(codes, zero, lambda acc, c: acc + acc.bitwiseAND(F.lit(63)) * (c * 64 - 1) + c), 6)
-        gone = lambda sign: F.length(x["upper"]) - F.length(F.replace(x["upper"], F.lit(sign), F.lit("")))
-        a = F.struct(
-            F.aggregate(codes, zero, lambda acc, c: acc + c).cast("double").alias("s"), F.aggregate(codes, zero, lambda acc, c: acc + c * c).cast("double").alias("q"), pairs.cast("double").alias("pairs"),
-            gone("1").cast("double").alias("upper"), ((gone("01") + gone("10")) / 2).alias("changes"),
+        """Sums over the symbols, their neighbours and halves; a state that is one number is far cheaper than a struct."""
+        total = lambda of: F.aggregate(x["values"], zero, lambda acc, v: acc + of(code(v)))
+        pairs = F.aggregate(x["values"], zero, lambda acc, v: acc + code(acc) * (code(v) * 64 - 1) + code(v), lambda acc: F.shiftright(acc, 6))
+        one = F.aggregate(
+            x["values"], zero, lambda acc, v: acc + v + code(acc) * (F.shiftleft(code(v), PACKED[2][0]) - 1),
+            lambda acc: F.array(*[F.shiftright(acc, at).bitwiseAND(F.lit(2**bits - 1)) for at, bits in PACKED]),
         )
-
-        def packed(acc: Column, code: Column) -> Column:
-            """Of sorted symbols: the last in six bits, its run's length in 17, the sum of squares above."""
-            run = F.shiftright(acc, 6).bitwiseAND(F.lit(131_071))
-            return F.when(acc.bitwiseAND(F.lit(63)) == code, acc + run * (1 << 24) + ((1 << 23) + 64)).otherwise(F.shiftright(acc, 23) * (1 << 23) + code + ((1 << 23) + 64))
-
-        def count(acc: Column, code: Column) -> Column:
-            run = F.when(acc["before"] == code, acc["run"] + 1.0).otherwise(F.lit(1.0))
-            return F.struct(code.alias("before"), run.alias("run"), (acc["squares"] + 2.0 * run - 1.0).alias("squares"))
-
-        ranked = F.sort_array(codes)
-        long = F.aggregate(ranked, F.struct((zero - 1).alias("before"), F.lit(0.0).alias("run"), F.lit(0.0).alias("squares")), count, lambda acc: acc["squares"])
-        short = F.shiftright(F.aggregate(ranked, F.lit(63).cast("bigint"), packed), 23).cast("double")
-        ends = (F.get(codes, 0) + F.get(codes, n - 1)).cast("double")
-        return F.struct(x["name"].alias("name"), x["k"].alias("k"), n.cast("double").alias("n"), a.alias("a"), F.when(n <= 50_000, short).otherwise(long).alias("squares"), ends.alias("ends"))
+        each = F.when(F.size(x["values"]) <= SHORT, one).otherwise(F.array(total(lambda c: c), total(lambda c: c * c), pairs))
+        first, last = (code(F.get(x["values"], at)) for at in (F.lit(0), F.size(x["values"]) - 1))
+        # A run of the upper half has a change before it and one after it, but for the string's ends.
+        ends = [F.when(e >= of(x, [len(a) // 2 for _, _, a in ALPHABETS]), 1).otherwise(0) for e in (first, last)]
+        changes = 2 * F.size(x["upper"]) - ends[0] - ends[1]
+        return _then(each, lambda s: F.struct(
+            x["n"].alias("n"), *[F.get(s, at).cast("double").alias(c) for at, c in enumerate(("s", "q", "pairs"))],
+            F.octet_length(F.array_join(x["upper"], "")).cast("double").alias("upper"), changes.cast("double").alias("changes"), (first + last).cast("double").alias("ends"),
+        ))
 
     def scores(x: Column) -> Column:
-        k, n, a = x["k"], x["n"], x["a"]
-        chi = (k / n * x["squares"] - n - (k - 1)) / F.sqrt(2.0 * (k - 1) * (n - 1) / n)
-        n1, n2 = a["upper"], n - a["upper"]
+        n = x["n"]
+        n1, n2 = x["upper"], n - x["upper"]
         spread = 2.0 * n1 * n2 * (2.0 * n1 * n2 - n) / (n * n * (n - 1))
-        runs = F.when(spread > 0, F.abs(a["changes"] - 2.0 * n1 * n2 / n) / F.sqrt(spread)).otherwise(F.lit(9.0))
-        mean, var = a["s"] / n, a["q"] - a["s"] * a["s"] / n
-        cov = a["pairs"] - mean * (2.0 * a["s"] - x["ends"]) + (n - 1) * mean * mean
+        runs = F.when(spread > 0, F.abs(x["changes"] - 2.0 * n1 * n2 / n) / F.sqrt(spread)).otherwise(F.lit(9.0))
+        mean, var = x["s"] / n, x["q"] - x["s"] * x["s"] / n
+        cov = x["pairs"] - mean * (2.0 * x["s"] - x["ends"]) + (n - 1) * mean * mean
         corr = F.when(var > 0, F.abs(cov / var + 1.0 / n) * F.sqrt(n)).otherwise(F.lit(9.0))
-        return F.struct(x["name"].alias("name"), n.alias("n"), chi.alias("chi"), runs.alias("runs"), corr.alias("corr"))
+        return F.array(runs, corr)
 
     def least(x: Column) -> Column:
-        p = F.least(F.lit(1.0), 3.0 * F.least(_normal_tail(x["chi"]), 2.0 * _normal_tail(x["runs"]), 2.0 * _normal_tail(x["corr"])))
-        return F.struct(x["name"].alias("encoding"), x["n"].cast("int").alias("n"), F.greatest(p, F.lit(1e-16)).alias("p"))
-
-    # Each bound() has what it is given computed once and not wherever it is used.
-    return bound(bound(bound(bound(which, coded), sums), scores), least)
+        both = x
+        for step in (parts, sums, scores):
+            both = _then(both, step)
+        rest = _then(both, lambda z: 2.0 * F.least(*[_normal_tail(F.get(z, i)) for i in (0, 1)]))
+        # The other two can't take p below its floor, so they are left where the first alone has it there.
+        p = F.when(3.0 * x["chi"] <= FLOOR, F.lit(FLOOR)).otherwise(F.greatest(F.least(F.lit(1.0), 3.0 * F.least(x["chi"], rest)), F.lit(FLOOR)))
+        return F.struct(of(x, [e for e, _, _ in ALPHABETS]).alias("encoding"), x["n"].cast("int").alias("n"), p.alias("p"))
+
+    out = which
+    for step in (coded, uneven, least):
+        out = _then(out, step)
+    return out
 
 
 def length_class(n: Column) -> Column:
@@ -132,7 +162,7 @@ def written(text: Column, key: Column) -> Column:
     passages = F.regexp_extract_all(plain, F.lit(f".{{{PASSAGE},{PASSAGE + 2 * least}}}$|.{{1,{PASSAGE}}}"), F.lit(0))
 
     def joined(passage: Column, place: Column) -> Column:
-        return bound(F.struct(F.xxhash64(passage, place, key).alias("key"), F.trim(passage).alias("plain")), lambda x: bound(styled(x["plain"], x["key"]), made))
+        return _then(F.struct(F.xxhash64(passage, place, key).alias("key"), F.trim(passage).alias("plain")), lambda x: _then(styled(x["plain"], x["key"]), made))
 
     def styled(words: Column, key: Column) -> Column:
         odd = lambda salt, n: F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(n)).cast("int")

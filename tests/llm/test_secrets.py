@@ -100,3 +100,31 @@ def test_many_matches_in_one_text(spark):
         assert row["n_hex"] == n and row["spans"].count(",") == n - 1
         took.append(time.perf_counter() - began)
     assert took[1] < 6 * took[0] + 4
+
+
+def test_battery_of_long_even_and_uneven_strings(spark):
+    rng = random.Random(2)
+    made = ["".join(rng.choice(a) for _ in range(n)) for a in SIGNS.values() for n in (2, 20, secrets.SHORT - 1, secrets.SHORT, secrets.SHORT + 1, 3000)]
+    made += [tail * n + head for n in (secrets.SHORT - 1, secrets.SHORT, 40) for tail, head in (("_", "-"), ("_", "/"), ("-", "+"), ("/", "A"), ("a", "9"), ("zA", "z"))]
+    made += ["_/-+" * 30, "ab12" * 10, "A2" * 20, "9f" * 12 + "0", "theQuickBrownFox" * 8 + "7"]
+    got = {r["s"]: r["t"] for r in spark.createDataFrame([(s,) for s in made], "s string").select("s", secrets.battery(F.col("s")).alias("t")).collect()}
+    for s in made:
+        name, p = plain_p(s)
+        assert (got[s]["encoding"], got[s]["n"]) == (name, len(s)) and got[s]["p"] == pytest.approx(p, rel=1e-6, abs=1e-15)
+
+
+def test_strings_that_one_test_settles_are_spared_the_others(spark, medium, monkeypatch):
+    tail, seen = secrets._normal_tail, []
+
+    def first_only(z):
+        seen.append(z)
+        return tail(z) if len(seen) == 1 else F.raise_error(F.lit("another test")).cast("double")
+
+    monkeypatch.setattr(secrets, "_normal_tail", first_only)
+    text = F.coalesce("text", F.lit(""))
+    made = spark.read.parquet(f"{medium}/documents.parquet").select(F.explode(secrets.written(text, F.xxhash64(text))).alias("s")).where(F.length("s") >= 120)
+    rows = made.select(secrets.battery(F.col("s"))["p"].alias("p")).collect()
+    assert len(rows) > 1000 and {r["p"] for r in rows} == {1e-16}
+    seen.clear()
+    with pytest.raises(Exception, match="another test"):  # of a random string all are asked
+        spark.createDataFrame([("k7Gx2mQ9vR4tZ1bN8cW5",)], "s string").select(secrets.battery(F.col("s"))).collect()
