@@ -29,13 +29,17 @@ def box_polygon(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.array(point(x1, y1), point(x2, y1), point(x2, y2), point(x1, y2))
 
 
-def iou(a: Column, b: Column) -> Column:
-    """Intersection over union of two boxes; 0 where they don't overlap or have no area."""
+def area(box: Column) -> Column:
+    return (box["x2"] - box["x1"]) * (box["y2"] - box["y1"])
+
+
+def iou(a: Column, b: Column, areas: tuple[Column, Column] | None = None) -> Column:
+    """Intersection over union of two boxes; 0 where they don't overlap or have no area. areas: those of a and b, where they are known already."""
     w = F.least(a["x2"], b["x2"]) - F.greatest(a["x1"], b["x1"])
     h = F.least(a["y2"], b["y2"]) - F.greatest(a["y1"], b["y1"])
-    area = lambda r: (r["x2"] - r["x1"]) * (r["y2"] - r["y1"])
-    union = area(a) + area(b) - w * h
-    return F.when((w > 0) & (h > 0) & (union > 0), w * h / F.when(union > 0, union)).otherwise(F.lit(0.0))
+    of_a, of_b = areas or (area(a), area(b))
+    union = of_a + of_b - w * h
+    return F.when((w > 0) & (h > 0) & (union > 0), F.try_divide(w * h, union)).otherwise(F.lit(0.0))
 
 
 def suppress(boxes: Column, kind: str, threshold: float) -> Column:

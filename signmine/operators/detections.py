@@ -57,11 +57,18 @@ def suppressed(rows: DataFrame, threshold: float = 0.5, ties: tuple[str, ...] =
 
 
 def overlapping_pairs(rows: DataFrame, threshold: float = 0.5, key: tuple[str, ...] = ("det", "q")) -> DataFrame:
-    """Pairs of one image's boxes with an IoU above the threshold: (image, a_*, b_*, iou), each pair once. For reports: suppression doesn't need it."""
-    side = lambda s: rows.select("image", F.struct(*[F.col(c).alias(c) for c in (*key, "x1", "y1", "x2", "y2")]).alias(s))
-    order = lambda s: F.struct(*[F.col(f"{s}.{c}") for c in key])
-    pairs = side("a").join(side("b"), "image").where(order("a") < order("b")).withColumn("iou", geometry.iou(F.col("a"), F.col("b"))).where(F.col("iou") > threshold)
-    return pairs.select("image", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in key], "iou")
+    """Pairs of one image's boxes with an IoU above the threshold: (image, a_*, b_*, iou), each pair once. For reports: suppression doesn't need it.
+
+    Areas come along, so that what is computed for each pair stays short: the code that Spark makes of longer conditions is too long for the JVM to compile.
+    """
+    corners = ("x1", "y1", "x2", "y2")
+    known = rows.select("image", *key, *corners, geometry.area({c: F.col(c) for c in corners}).alias("area"))
+    side = lambda s: known.select("image", *[F.col(c).alias(f"{s}_{c}") for c in (*key, *corners, "area")])
+    box = lambda s: {c: F.col(f"{s}_{c}") for c in corners}
+    order = lambda s: F.struct(*[F.col(f"{s}_{c}").alias(c) for c in key])
+    iou = geometry.iou(box("a"), box("b"), (F.col("a_area"), F.col("b_area")))
+    pairs = side("a").join(side("b"), "image").where(iou > threshold).where(order("a") < order("b"))
+    return pairs.select("image", *[f"{s}_{c}" for s in "ab" for c in key], iou.alias("iou"))
 
 
 def capped(kept: DataFrame, most: int, seed: int = 0, image_key: Column | None = None) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from signmine.functions import geometry
 from signmine.operators import detections as det
 from signmine.operators import edges, sequence, stats
+from signmine.plans import catalogue
 
 
 def iou(a, b):
@@ -95,3 +97,32 @@ def test_zero_streaks_and_cumulative(spark):
     assert sorted(tuple(r) for r in stats.zero_streaks(chunks).collect()) == [(1, 3, 3), (8, 11, 4)]
     runs = spark.createDataFrame([(1, 5, None), (2, None, 9)], "run_no int, crops int, target int")
     assert tuple(stats.cumulative(runs, ("crops",), ("target",)).first()) == (5, 9)
+
+
+def test_overlapping_pairs_against_plain_loops(spark):
+    rng, rows = random.Random(9), []
+    for image in (*range(90), None):
+        for _ in range(rng.randint(1, 12)):
+            x, y = rng.randint(0, 8), rng.randint(0, 8)
+            # Some keys are equal, some null, some boxes without area, some corners missing.
+            rows.append((image, rng.randint(0, 1), rng.choice([*range(6), None]), float(x), float(y), float(x + rng.randint(0, 6)), rng.choice([float(y + rng.randint(1, 6)), None]) if rng.random() < 0.2 else float(y + rng.randint(0, 6))))
+    df = spark.createDataFrame(rows, "image int, det int, q long, x1 double, y1 double, x2 double, y2 double")
+    first = lambda r: (r[1], -1 if r[2] is None else r[2])
+    for thr in (0.0, 0.4):
+        want = [(a[0], *a[1:3], *b[1:3], iou(a[3:], b[3:])) for a in rows for b in rows if a[0] is not None and a[0] == b[0] and first(a) < first(b) and None not in (a[6], b[6]) and iou(a[3:], b[3:]) > thr]
+        assert sorted(map(repr, map(tuple, det.overlapping_pairs(df, thr).collect()))) == sorted(map(repr, want)) and len(want) > 5
+
+
+def test_what_is_computed_for_each_pair_can_be_compiled(spark, small, capsys):
+    """The JVM doesn't compile methods of more than 8,000 bytes: a join whose code is longer takes seven times as long."""
+    was = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        catalogue.QUERIES["iou_pairs"](spark, small).explain("codegen")
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    found = capsys.readouterr().out
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", found)]
+    assert "SortMergeJoin" in found and max(sizes) < 6000
