@@ -42,10 +42,19 @@ def iou(a: Column, b: Column, areas: tuple[Column, Column] | None = None) -> Col
     return F.when((w > 0) & (h > 0) & (union > 0), F.try_divide(w * h, union)).otherwise(F.lit(0.0))
 
 
+def overlaps(a: Column, b: Column, threshold: float) -> Column:
+    """Whether iou(a, b) is above the threshold, in fewer steps (they are interpreted in lambdas); null for false where a corner is missing. Boxes that overlap have areas, so their union is above 0."""
+    if threshold < 0:
+        return iou(a, b) > threshold
+    w = F.least(a["x2"], b["x2"]) - F.greatest(a["x1"], b["x1"])
+    h = F.least(a["y2"], b["y2"]) - F.greatest(a["y1"], b["y1"])
+    return (w > 0) & (h > 0) & (F.try_divide(w * h, area(a) + area(b) - w * h) > threshold)
+
+
 def suppress(boxes: Column, kind: str, threshold: float) -> Column:
     """Greedy suppression of sorted boxes (best first): a box stays unless its IoU with one that stays is above the threshold. kind: the array's DDL type."""
     empty = F.expr(f"cast(array() as {kind})")
-    return F.aggregate(boxes, empty, lambda kept, b: F.when(F.exists(kept, lambda k: iou(k, b) > threshold), kept).otherwise(F.concat(kept, F.array(b))))
+    return F.aggregate(boxes, empty, lambda kept, b: F.when(F.exists(kept, lambda k: overlaps(k, b, threshold)), kept).otherwise(F.concat(kept, F.array(b))))
 
 
 def crop_rectangle(box: Column, width: Column, height: Column) -> Column:

@@ -46,7 +46,7 @@ def _sorted(rows: DataFrame, ties: tuple[str, ...]) -> DataFrame:
     """(image, boxes): by score from the highest; equal scores in order of det, q and the further columns named."""
     fields = [(-F.col("score")).alias("place"), F.col("det").cast("int").alias("det"), F.col("q").cast("long").alias("q"), *[F.col(c).alias(f"t_{c}") for c in ties]]
     body = [F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2", "score")]
-    gathered = rows.groupBy("image").agg(F.array_sort(F.collect_list(F.struct(*fields, *body))).alias("boxes"))
+    gathered = rows.groupBy("image").agg(F.sort_array(F.collect_list(F.struct(*fields, *body))).alias("boxes"))
     return gathered.select("image", F.transform("boxes", lambda b: F.struct(*[b[c].alias(c) for c in ("place", "det", "q", "x1", "y1", "x2", "y2", "score")])).alias("boxes"))
 
 

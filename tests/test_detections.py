@@ -126,3 +126,28 @@ def test_what_is_computed_for_each_pair_can_be_compiled(spark, small, capsys):
     found = capsys.readouterr().out
     sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", found)]
     assert "SortMergeJoin" in found and max(sizes) < 6000
+
+
+def test_overlaps_are_those_of_iou(spark):
+    rng = random.Random(2)
+    ends = (0.0, 1.0, 2.0, 3.0, 4.0, -0.0, 1e-200, float("inf"), float("nan"), None)
+    some = lambda: [rng.choice(ends if rng.random() < 0.2 else ends[:5]) for _ in range(4)]
+    df = spark.createDataFrame([(some(), some()) for _ in range(2000)], "a array<double>, b array<double>")
+    box = lambda s: {c: F.get(s, i) for i, c in enumerate(("x1", "y1", "x2", "y2"))}
+    for thr in (-1.0, 0.0, 1 / 3, 0.5):
+        both = df.select(F.coalesce(geometry.overlaps(box("a"), box("b"), thr), F.lit(False)).alias("short"), (geometry.iou(box("a"), box("b")) > thr).alias("long"))
+        assert both.where("short <> long").count() == 0 and both.where("short").count() > 20
+
+
+def test_dense_numbers_compute_rows_once(spark):
+    rows = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            rows.add(len(batch))
+            yield batch
+
+    found = sequence.dense_numbers(spark.range(500).mapInPandas(count, "id long"), ["id"])
+    assert [r["seq"] - r["id"] for r in found.collect()] == [1] * 500
+    # Neither the bounds of ranges nor the numbers take a second pass over what made the rows, and numbers take no further sort.
+    assert rows.value == 500 and "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
